@@ -86,6 +86,37 @@ def segment_key(entry_id, seq, legacy_slice: bool = True) -> Column:
     return F.concat(base, F.lit("_"), (F.col(seq) if isinstance(seq, str) else seq).cast("string"))
 
 
+def _budget_fold(text, delimiter: str, budget: int, min_chars: int):
+    phrases = F.filter(
+        F.transform(split_literal(_text(text), delimiter), py_strip),
+        lambda p: F.length(p) >= min_chars,
+    )
+    zero = F.struct(F.lit(0).cast("long").alias("total"),
+                    F.array().cast("array<bigint>").alias("cums"))
+
+    def step(acc, p):
+        total = acc["total"] + F.length(p)
+        cums = F.when(total <= budget, F.array_append(acc["cums"], total)).otherwise(acc["cums"])
+        return F.struct(total.alias("total"), cums.alias("cums"))
+
+    cums = F.aggregate(phrases, zero, step)["cums"]
+    return phrases, cums
+
+
+def budget_phrases(text, delimiter: str = SENTENCE_DELIMITER, budget: int = ANNOTATION_BUDGET,
+                   min_chars: int = 2) -> Column:
+    """ARRAY of the phrases kept under the budget (see ``char_budget``)."""
+    phrases, cums = _budget_fold(text, delimiter, budget, min_chars)
+    return F.slice(phrases, 1, F.size(cums))
+
+
+def budget_text(text, delimiter: str = SENTENCE_DELIMITER, budget: int = ANNOTATION_BUDGET,
+                min_chars: int = 2) -> Column:
+    """Kept phrases, each with the delimiter re-added, joined by one space."""
+    kept = budget_phrases(text, delimiter, budget, min_chars)
+    return F.array_join(F.transform(kept, lambda p: F.concat(p, F.lit(delimiter))), " ")
+
+
 def char_budget(corpus: DataFrame, id_col: str = "id", text_col: str = "text",
                 delimiter: str = SENTENCE_DELIMITER, budget: int = ANNOTATION_BUDGET,
                 min_chars: int = 2) -> DataFrame:
@@ -102,19 +133,7 @@ def char_budget(corpus: DataFrame, id_col: str = "id", text_col: str = "text",
     fold's work is bounded by ``budget / min_chars`` kept phrases.
     Output: ``(id, pos, phrase, n_chars, cum_chars)``.
     """
-    phrases = F.filter(
-        F.transform(split_literal(_text(text_col), delimiter), py_strip),
-        lambda p: F.length(p) >= min_chars,
-    )
-    zero = F.struct(F.lit(0).cast("long").alias("total"),
-                    F.array().cast("array<bigint>").alias("cums"))
-
-    def step(acc, p):
-        total = acc["total"] + F.length(p)
-        cums = F.when(total <= budget, F.array_append(acc["cums"], total)).otherwise(acc["cums"])
-        return F.struct(total.alias("total"), cums.alias("cums"))
-
-    cums = F.aggregate(phrases, zero, step)["cums"]
+    phrases, cums = _budget_fold(text_col, delimiter, budget, min_chars)
     kept = F.arrays_zip(F.slice(phrases, 1, F.size(cums)).alias("phrase"), cums.alias("cum"))
     exploded = corpus.select(F.col(id_col), F.posexplode(kept).alias("pos", "_k"))
     return exploded.select(

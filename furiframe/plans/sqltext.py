@@ -69,3 +69,8 @@ def score_pairs(pairs: str, keys: str) -> str:
                 ELSE CAST(edits AS DOUBLE) / CAST(length(t) AS DOUBLE) END AS cer
     FROM d
     """
+
+
+def sql_lit(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("'", "''") + "'"
