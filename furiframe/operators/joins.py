@@ -1,9 +1,12 @@
 """Lookup joins with a checked broadcast and a salted fallback.
 
 A lookup table (lexicon, per-character readings, vocabulary) is broadcast
-only after its row count was checked against a bound; beyond the bound the
-join shuffles, and the key is salted so a hot key (say a word that makes up
-a third of all tokens) spreads over ``salt_buckets`` tasks instead of one.
+only behind a size check: by default AQE's run-time measurement (the plan
+starts as a shuffle join and is switched to a broadcast join only when the
+measured lookup side is under the threshold), or an explicit bounded row
+count. Beyond the bound the join shuffles; a hot key (say a word that makes
+up a third of all tokens) is split by AQE's skew-join handling or, on
+request, by salting.
 """
 
 from __future__ import annotations
@@ -24,22 +27,28 @@ def fits_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
-                max_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 32,
+                max_rows: int | None = None, salt_buckets: int = 0,
                 salt_cols: Sequence[str] | None = None) -> DataFrame:
-    """Join a large table to a lookup table on ``on``.
+    """Join a large table to a lookup table (unique on ``on``).
 
-    ``small`` must be unique on ``on``. Broadcast when its size is within the
-    checked bound; otherwise a salted shuffle join: the big side gets a salt
-    from a hash of ``salt_cols`` (default: all its columns), the small side is
-    replicated ``salt_buckets`` times, so hot keys are split.
+    * ``max_rows`` given and the lookup is within it (a bounded count):
+      explicit broadcast.
+    * ``salt_buckets > 0``: salted shuffle join; the big side gets a salt from
+      a hash of ``salt_cols`` (default: all its columns) and the small side is
+      replicated ``salt_buckets`` times, so a hot key is split.
+    * otherwise a plain join: AQE measures the lookup side at run time and
+      broadcasts it only when it is under the broadcast threshold; beyond it
+      the join shuffles and AQE's skew-join handling splits hot keys.
     """
     on = list(on)
-    if fits_broadcast(small, max_rows):
+    if max_rows is not None and fits_broadcast(small, max_rows):
         return big.join(F.broadcast(small), on, how)
-    cols = list(salt_cols) if salt_cols else big.columns
-    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt_buckets)))
-    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return salted_big.join(salted_small, on + ["_salt"], how).drop("_salt")
+    if salt_buckets > 0:
+        cols = list(salt_cols) if salt_cols else big.columns
+        salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt_buckets)))
+        salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        return salted_big.join(salted_small, on + ["_salt"], how).drop("_salt")
+    return big.join(small, on, how)
 
 
 def dense_ids(df: DataFrame, col: str, out_col: str = "id", buckets: int = 64) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furiframe.functions.arrays import attention_mask, mask_value, pad_truncate
-from furiframe.operators.joins import dense_ids, lookup_join
+from furiframe.operators.joins import DEFAULT_BROADCAST_ROWS, dense_ids, lookup_join
 
 
 def build_vocab(pieces: DataFrame, piece_col: str = "piece", n_special: int = 3) -> DataFrame:
@@ -29,7 +29,7 @@ def encode_pieces(df: DataFrame, keys: Sequence[str], pieces_col: str, vocab: Da
     keys = list(keys)
     ex = df.select(*keys, F.posexplode(pieces_col).alias("_pos", "piece"))
     joined = lookup_join(ex, vocab.select("piece", "token_id"), ["piece"], "inner",
-                         salt_cols=keys + ["_pos"])
+                         max_rows=DEFAULT_BROADCAST_ROWS, salt_buckets=32, salt_cols=keys + ["_pos"])
     return (joined.groupBy(*keys)
             .agg(F.array_sort(F.collect_list(F.struct(F.col("_pos"), F.col("token_id")))).alias("_s"))
             .select(*keys, F.transform("_s", lambda x: x["token_id"]).alias(out_col)))
@@ -45,7 +45,7 @@ def decode_ids(df: DataFrame, keys: Sequence[str], ids_col: str, vocab: DataFram
     v = vocab.where(~F.col("special")) if skip_special else vocab
     ex = df.select(*keys, F.posexplode(ids_col).alias("_pos", "token_id"))
     joined = lookup_join(ex, v.select("token_id", "piece"), ["token_id"], "inner",
-                         salt_cols=keys + ["_pos"])
+                         max_rows=DEFAULT_BROADCAST_ROWS, salt_buckets=32, salt_cols=keys + ["_pos"])
     dec = (joined.groupBy(*keys)
            .agg(F.array_sort(F.collect_list(F.struct(F.col("_pos"), F.col("piece")))).alias("_s"))
            .select(*keys, F.array_join(F.transform("_s", lambda x: x["piece"]), sep).alias(out_col),
