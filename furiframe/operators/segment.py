@@ -39,14 +39,15 @@ def sentence_pieces(text, delimiter: str = SENTENCE_DELIMITER) -> Column:
 
 def segment_sentences(corpus: DataFrame, id_col: str = "id", text_col: str = "text",
                       delimiter: str = SENTENCE_DELIMITER,
-                      max_chars: int = SEGMENT_MAX_CHARS) -> DataFrame:
+                      max_chars: int = SEGMENT_MAX_CHARS, suffix: str | None = None) -> DataFrame:
     """Document -> bounded sentences ``(id, seq, text)``.
 
-    Split on the literal delimiter, strip, drop empty pieces, re-append the
-    delimiter and cut to ``max_chars`` code points (so a long sentence loses
-    its delimiter and one already ending in it may carry it twice).
-    One narrow Generate: no shuffle, no window.
+    Split on the literal delimiter, strip, drop empty pieces, append
+    ``suffix`` (default: the delimiter) and cut to ``max_chars`` code points
+    (so a long sentence loses its suffix and one already ending in it may
+    carry it twice). One narrow Generate: no shuffle, no window.
     """
+    suffix = delimiter if suffix is None else suffix
     exploded = corpus.select(
         F.col(id_col),
         F.posexplode(sentence_pieces(text_col, delimiter)).alias("seq", "_piece"),
@@ -54,7 +55,7 @@ def segment_sentences(corpus: DataFrame, id_col: str = "id", text_col: str = "te
     return exploded.select(
         F.col(id_col),
         F.col("seq").cast("long").alias("seq"),
-        F.left(F.concat(F.col("_piece"), F.lit(delimiter)), F.lit(max_chars)).alias("text"),
+        F.left(F.concat(F.col("_piece"), F.lit(suffix)), F.lit(max_chars)).alias("text"),
     )
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from furiframe.plans import annotate_queries, corpus_queries, dataset_queries, eval_queries
+from furiframe.plans import annotate_queries, corpus_queries, dataset_queries, eval_queries, image_queries
 
-_MODULES = (corpus_queries, eval_queries, dataset_queries, annotate_queries)
+_MODULES = (corpus_queries, eval_queries, dataset_queries, annotate_queries, image_queries)
 
 
 def all_queries() -> dict:
