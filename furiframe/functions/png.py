@@ -82,3 +82,30 @@ def decode_png(data: bytes) -> np.ndarray:
                 cur[x] = (line[x] + pred) & 0xFF
             out[y] = cur
     return out.astype(np.uint8).reshape(h, w, c)
+
+
+def png_problem(data: bytes | None) -> str | None:
+    """Structural check of a PNG without decoding pixels (signature, chunk
+    lengths, CRCs, IHDR first, IDAT present, IEND last); None when sound."""
+    if not data:
+        return "zero-size file"
+    if not data.startswith(SIGNATURE):
+        return "not a PNG signature"
+    pos, first, seen_idat = 8, True, False
+    while pos + 12 <= len(data):
+        (n,) = struct.unpack(">I", data[pos:pos + 4])
+        kind = data[pos + 4:pos + 8]
+        if pos + 12 + n > len(data):
+            return "truncated chunk"
+        body = data[pos + 8:pos + 8 + n]
+        (crc,) = struct.unpack(">I", data[pos + 8 + n:pos + 12 + n])
+        if zlib.crc32(kind + body) & 0xFFFFFFFF != crc:
+            return f"bad CRC in {kind.decode('latin-1')}"
+        if first and kind != b"IHDR":
+            return "IHDR is not the first chunk"
+        first = False
+        seen_idat |= kind == b"IDAT"
+        if kind == b"IEND":
+            return None if seen_idat else "no image data"
+        pos += 12 + n
+    return "missing IEND"

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from furiframe.functions.png import encode_png
+from furiframe.functions.png import encode_png, png_problem
 
 # --- Fixed values ------------------------------------------------------------
 SCROLLBAR_PX = 20   # cut from the right edge before looking for content
@@ -154,6 +154,17 @@ def invalid_images(images: DataFrame, image_col: str = "image") -> DataFrame:
     return images.where(F.col(f"{image_col}.height") < 0)
 
 
+def _png_check_batch(content: pd.Series) -> pd.Series:
+    return content.map(lambda b: png_problem(bytes(b)) if b is not None else "zero-size file")
+
+
+def png_check(content) -> Column:
+    """Structural PNG verification (CRCs, chunk order) -> problem text or null.
+    Stricter than the decoder, which tolerates bad CRCs (Arrow-batched UDF)."""
+    c = F.col(content) if isinstance(content, str) else content
+    return F.pandas_udf(_png_check_batch, "string")(c)
+
+
 def base64_text(content) -> Column:
     """Standard base64 without line breaks."""
     c = F.col(content) if isinstance(content, str) else content
