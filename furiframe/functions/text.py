@@ -13,6 +13,12 @@ PY_WHITESPACE_CLASS = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 PY_STRIP_PATTERN = "^" + PY_WHITESPACE_CLASS + "+|" + PY_WHITESPACE_CLASS + "+$"
+# The same set as plain characters (for btrim).
+PY_WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 # Numeral string: a surface that is a contiguous substring of it gets no reading.
 NUMERALS = "一二三四五六七八九十０１２３４５６７８９"
 # Leading characters that suppress ruby output.
@@ -41,8 +47,9 @@ def regex_quote(text: str) -> str:
 
 
 def py_strip(c) -> Column:
-    """Python ``str.strip()``: removes Unicode whitespace incl. U+3000, U+0085, U+001C.."""
-    return F.regexp_replace(_col(c), PY_STRIP_PATTERN, "")
+    """Python ``str.strip()``: removes Unicode whitespace incl. U+3000, U+0085, U+001C..
+    (``btrim`` with the character set: only the two ends are examined)."""
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE_CHARS))
 
 
 def split_literal(c, delimiter: str) -> Column:
