@@ -45,13 +45,14 @@ def recognized_single(truth: DataFrame) -> DataFrame:
 
 
 def recognized_runs(truth: DataFrame) -> DataFrame:
-    """Transcript table of several runs ``(model, temperature, doc_id, seq, text)``."""
-    runs = None
-    for model, temp, kind in RUNS:
-        part = truth.select(F.lit(model).alias("model"), F.lit(temp).cast("double").alias("temperature"),
-                            *KEYS, _corrupt(kind, F.col("text")).alias("text"))
-        runs = part if runs is None else runs.unionByName(part)
-    return runs
+    """Transcript table of several runs ``(model, temperature, doc_id, seq, text)``,
+    produced from one scan (an explode over the runs, not a union of scans)."""
+    runs = F.array(*[
+        F.struct(F.lit(model).alias("model"), F.lit(temp).cast("double").alias("temperature"),
+                 _corrupt(kind, F.col("text")).alias("text"))
+        for model, temp, kind in RUNS])
+    ex = truth.select(*KEYS, F.explode(runs).alias("_r"))
+    return ex.select("_r.model", "_r.temperature", *KEYS, "_r.text")
 
 
 def q_eval_cer(spark, sf_dir):

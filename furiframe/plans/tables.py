@@ -13,7 +13,30 @@ TABLES = (
 
 DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
+# Tables whose rows carry heavy per-row work (text, arrays), with their key.
+_SPREAD = {"documents": ("doc_id",), "pages": ("page_id",), "conversations": ("conv_id", "turn"),
+           "embeddings": ("vec_id",)}
+
+
+def balanced(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    Text work is CPU-heavy per byte, and a small or single-row-group file is
+    one task. When the scan already has at least ``defaultParallelism``
+    partitions (any large input) nothing changes; otherwise the rows are
+    hash-partitioned on ``keys`` (unique, so no hot partition) over twice the
+    parallelism. Column pruning and filters still reach the scan below the
+    exchange.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target * 2, *keys) if keys else df.repartition(target * 2)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one table; column pruning and filters reach the scan."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if name in _SPREAD:
+        df = balanced(df, _SPREAD[name])
+    return df
