@@ -7,10 +7,10 @@ Order matches the reference: empty transcripts go first, then images are
 synced against what is left, so an emptied transcript makes its image an
 orphan; a zero-size or undecodable image removes itself and its transcript.
 
-Each step is a semi/anti join on the unique ``stem`` key: Catalyst
-broadcasts a side only when its measured size is under the threshold
-(AQE re-plans at run time), else it is a sort-merge join on a unique key,
-so no hot key exists.
+Each step is a semi/anti join on the unique ``stem`` key (the summary and
+the reject list take one full outer join): Catalyst broadcasts a side only
+when its measured size is under the threshold (AQE re-plans at run time),
+else it is a sort-merge join on a unique key, so no hot key exists.
 """
 
 from __future__ import annotations
@@ -55,49 +55,54 @@ def surviving_texts(images: DataFrame, texts_kept: DataFrame, key: str = "stem",
     return kept
 
 
+def file_status(images: DataFrame, texts: DataFrame, key: str = "stem") -> DataFrame:
+    """One row per stem with the fate of its image and its transcript.
+
+    A single full outer join on the (unique) stem replaces the chain of
+    anti/semi joins: ``image_status`` is orphan / corrupt / kept (null when
+    there is no image), ``text_status`` is empty / corrupt_image / kept (null
+    when there is no transcript), following the reference's order (empty
+    transcripts first, then the image sync).
+    """
+    i = images.select(key, F.lit(True).alias("_img"), F.col("size").alias("_isize"),
+                      F.coalesce(F.col("valid"), F.lit(False)).alias("_valid"))
+    t = texts.select(key, F.lit(True).alias("_txt"), F.col("size").alias("_tsize"))
+    j = i.join(t, key, "full_outer")
+    has_img, has_txt = F.col("_img").isNotNull(), F.col("_txt").isNotNull()
+    text_kept = has_txt & (F.col("_tsize") > 0)
+    bad_img = (F.col("_isize") == 0) | ~F.col("_valid")
+    image_status = (F.when(~has_img, F.lit(None).cast("string"))
+                    .when(~text_kept, F.lit("orphan"))
+                    .when(bad_img, F.lit("corrupt"))
+                    .otherwise(F.lit("kept")))
+    text_status = (F.when(~has_txt, F.lit(None).cast("string"))
+                   .when(~text_kept, F.lit("empty"))
+                   .when(has_img & bad_img, F.lit("corrupt_image"))
+                   .otherwise(F.lit("kept")))
+    return j.select(key, image_status.alias("image_status"), text_status.alias("text_status"))
+
+
 def rejects(images: DataFrame, texts: DataFrame, key: str = "stem") -> DataFrame:
     """Everything removed, with a reason: ``(stem, kind, reason)``."""
-    kept = clean_empty(texts)
-    empty = texts.where(F.col("size") <= 0).select(key, F.lit("text").alias("kind"), F.lit("empty").alias("reason"))
-    orphan = clean_orphans(images, kept, key).select(key, F.lit("image").alias("kind"), F.lit("orphan").alias("reason"))
-    bad = corrupt_images(images, kept, key)
-    bad_img = bad.select(key, F.lit("image").alias("kind"), F.lit("corrupt").alias("reason"))
-    bad_txt = kept.join(bad.select(key), key, "left_semi").select(
-        key, F.lit("text").alias("kind"), F.lit("corrupt_image").alias("reason"))
-    return empty.unionByName(orphan).unionByName(bad_img).unionByName(bad_txt)
-
-
-def image_status(images: DataFrame, texts_kept: DataFrame, key: str = "stem") -> DataFrame:
-    """``(stem, status)`` per image: orphan, corrupt or kept."""
-    flagged = images.join(texts_kept.select(key, F.lit(True).alias("_has_text")), key, "left")
-    status = (F.when(F.col("_has_text").isNull(), F.lit("orphan"))
-              .when((F.col("size") == 0) | ~F.coalesce(F.col("valid"), F.lit(False)), F.lit("corrupt"))
-              .otherwise(F.lit("kept")))
-    return flagged.select(key, F.lit("image").alias("kind"), status.alias("status"))
-
-
-def text_status(images: DataFrame, texts: DataFrame, key: str = "stem") -> DataFrame:
-    """``(stem, status)`` per transcript: empty, corrupt_image or kept."""
-    kept = clean_empty(texts)
-    bad = corrupt_images(images, kept, key).select(key, F.lit(True).alias("_bad"))
-    flagged = texts.join(bad, key, "left")
-    status = (F.when(F.col("size") <= 0, F.lit("empty"))
-              .when(F.col("_bad"), F.lit("corrupt_image"))
-              .otherwise(F.lit("kept")))
-    return flagged.select(key, F.lit("text").alias("kind"), status.alias("status"))
+    st = file_status(images, texts, key)
+    img = st.where(F.col("image_status").isin("orphan", "corrupt")).select(
+        key, F.lit("image").alias("kind"), F.col("image_status").alias("reason"))
+    txt = st.where(F.col("text_status").isin("empty", "corrupt_image")).select(
+        key, F.lit("text").alias("kind"), F.col("text_status").alias("reason"))
+    return img.unionByName(txt)
 
 
 def clean_summary(images: DataFrame, texts: DataFrame, key: str = "stem") -> DataFrame:
     """One row of counts over the per-file status table, in one aggregate."""
-    st = text_status(images, texts, key).unionByName(image_status(images, clean_empty(texts), key))
-    is_text, is_image = F.col("kind") == "text", F.col("kind") == "image"
+    st = file_status(images, texts, key)
+    i, t = F.col("image_status"), F.col("text_status")
     return st.agg(
-        F.count_if(is_text).alias("texts_total"),
-        F.count_if(is_image).alias("images_total"),
-        F.count_if(is_text & (F.col("status") == "empty")).alias("texts_empty"),
-        F.count_if(is_image & (F.col("status") == "orphan")).alias("images_orphaned"),
-        F.count_if(is_image & (F.col("status") == "corrupt")).alias("images_corrupt"),
-        F.count_if(is_text & (F.col("status") == "corrupt_image")).alias("texts_dropped_with_image"),
-        F.count_if(is_image & (F.col("status") == "kept")).alias("images_kept"),
-        F.count_if(is_text & (F.col("status") == "kept")).alias("texts_kept"),
+        F.count_if(t.isNotNull()).alias("texts_total"),
+        F.count_if(i.isNotNull()).alias("images_total"),
+        F.count_if(t == "empty").alias("texts_empty"),
+        F.count_if(i == "orphan").alias("images_orphaned"),
+        F.count_if(i == "corrupt").alias("images_corrupt"),
+        F.count_if(t == "corrupt_image").alias("texts_dropped_with_image"),
+        F.count_if(i == "kept").alias("images_kept"),
+        F.count_if(t == "kept").alias("texts_kept"),
     )
