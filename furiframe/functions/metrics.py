@@ -15,8 +15,17 @@ def _col(c) -> Column:
 
 
 def edit_distance(a, b) -> Column:
-    """Levenshtein distance on code points (built-in, no threshold)."""
-    return F.levenshtein(_col(a), _col(b))
+    """Levenshtein distance on code points (built-in, no threshold).
+
+    Exact shortcuts skip the O(n*m) table: equal strings -> 0; one string a
+    prefix or suffix of the other -> the length difference (the lower bound
+    |n - m|, reached by deletions alone).
+    """
+    a, b = _col(a), _col(b)
+    affix = a.startswith(b) | b.startswith(a) | a.endswith(b) | b.endswith(a)
+    return (F.when(a == b, F.lit(0))
+            .when(affix, F.abs(F.length(a) - F.length(b)))
+            .otherwise(F.levenshtein(a, b)))
 
 
 def _codepoints(s: str) -> np.ndarray:

@@ -74,3 +74,21 @@ def test_key_sets(spark):
 def test_run_slug(spark):
     df = spark.createDataFrame([("gemma3:12b", 0.1)], "m string, t double")
     assert df.select(ev.run_slug("m", "t").alias("s")).first()["s"] == "gemma3_12b_t0.1"
+
+
+def test_edit_distance_shortcuts_are_exact(spark):
+    import random
+
+    from furiframe.functions.metrics import edit_distance
+
+    rnd = random.Random(5)
+    rows = []
+    for _ in range(1500):
+        a = "".join(rnd.choice("abé東 ") for _ in range(rnd.randint(0, 8)))
+        kind = rnd.randint(0, 3)
+        b = a if kind == 0 else a[: rnd.randint(0, len(a))] if kind == 1 else a[rnd.randint(0, len(a)):] if kind == 2 \
+            else "".join(rnd.choice("abé東 ") for _ in range(rnd.randint(0, 8)))
+        rows.append((a, b))
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = df.select(edit_distance("a", "b").alias("d"), F.levenshtein("a", "b").alias("e")).collect()
+    assert all(r["d"] == r["e"] for r in got)
