@@ -112,3 +112,16 @@ def with_suffix(c, new_suffix: str) -> Column:
 def truncate_chars(c, n: int) -> Column:
     """First ``n`` code points (Python ``s[:n]``)."""
     return F.left(_col(c), F.lit(n))
+
+
+def _charset_batch(encoding: str):
+    def run(s):
+        return s.map(lambda x: None if x is None else x.encode(encoding, "ignore").decode(encoding))
+    return run
+
+
+def charset_filter(c, encoding: str = "euc_jp") -> Column:
+    """Drop the characters ``encoding`` cannot represent (Python codecs,
+    'ignore'), as the analyzer pipes did for EUC-JP / Shift_JIS. Spark's
+    ``encode`` rejects these charsets, so this is an Arrow-batched UDF."""
+    return F.pandas_udf(_charset_batch(encoding), "string")(_col(c))

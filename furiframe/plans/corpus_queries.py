@@ -95,8 +95,16 @@ def q_escape_text(spark, sf_dir):
     return pages.select("page_id", T.escape_text("html").alias("escaped"))
 
 
+def q_charset_filter(spark, sf_dir):
+    """Analyzer input as the pipes see it: escaped, then only EUC-JP characters
+    (no SQL oracle: DuckDB has no EUC-JP codec; tested against Python)."""
+    docs = corpus(spark, sf_dir)
+    return docs.select("doc_id", T.charset_filter(T.escape_text("text"), "euc_jp").alias("analyzer_text"))
+
+
 QUERIES = {
     "corpus_scan": q_corpus_scan,
+    "charset_filter": q_charset_filter,
     "segment_sentences": q_segment_sentences,
     "segment_summary": q_segment_summary,
     "char_budget": q_char_budget,
