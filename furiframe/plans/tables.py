@@ -28,8 +28,11 @@ def balanced(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     parallelism. Column pruning and filters still reach the scan below the
     exchange.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
         return df
     return df.repartition(target * 2, *keys) if keys else df.repartition(target * 2)
 
