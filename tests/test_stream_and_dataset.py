@@ -63,3 +63,13 @@ def test_upsert_latest_last_write_wins(spark):
                                "key string, seq int, text string")
     got = {r.key: (r.seq, r.text) for r in segment.upsert_latest(df, ["key"], "seq").collect()}
     assert got == {"k": (2, "z"), "j": (0, "q")}
+
+
+def test_cut_lineage_uses_the_shared_checkpoint_folder(spark):
+    from furiframe.session import cut_lineage, ensure_checkpoint_dir
+
+    folder = ensure_checkpoint_dir(spark)
+    df = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id")
+    cut = cut_lineage(df.where(F.col("doc_id") % 2 == 0))
+    assert cut.count() == df.where(F.col("doc_id") % 2 == 0).count()
+    assert any(os.scandir(folder.replace("file:", "")))
