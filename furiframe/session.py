@@ -13,6 +13,32 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings we run the package with on a large cluster (~100 TB of text).
+# Text work is CPU-heavy per byte, so partitions are kept moderate; AQE
+# coalesces small shuffle partitions and splits skewed ones; Arrow batches
+# stay small because image rows are large.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def cluster_builder(builder: SparkSession.Builder) -> SparkSession.Builder:
+    """Apply ``CLUSTER_CONF`` to a session builder (the cluster supplies master,
+    executors and ``spark.checkpoint.dir``)."""
+    for k, v in CLUSTER_CONF.items():
+        builder = builder.config(k, v)
+    return builder
+
+
 def local_session(cpus: int | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "furiframe") -> SparkSession:
     """A local session tuned for small test data (UI off, AQE on, UTC)."""
