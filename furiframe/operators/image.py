@@ -149,6 +149,13 @@ def rgb_images(images: DataFrame, image_col: str = "image") -> DataFrame:
     return flat.mapInPandas(run, "origin string, height int, width int, rgb binary")
 
 
+def crop_summary(boxes: DataFrame) -> DataFrame:
+    """Processed / cropped / blank (skipped) / error counts in one aggregate."""
+    st = F.col("status")
+    return boxes.agg(F.count(F.lit(1)).alias("processed"), F.count_if(st == "cropped").alias("cropped"),
+                     F.count_if(st == "blank").alias("skipped"), F.count_if(st == "error").alias("errors"))
+
+
 def invalid_images(images: DataFrame, image_col: str = "image") -> DataFrame:
     """Rows the decoder rejected (the ``image`` source marks them with height -1)."""
     return images.where(F.col(f"{image_col}.height") < 0)

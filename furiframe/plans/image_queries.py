@@ -65,6 +65,10 @@ def q_image_crop(spark, sf_dir):
                         (F.substr(F.hex("png"), F.lit(1), F.lit(16)) == F.lit("89504E470D0A1A0A")).alias("is_png"))
 
 
+def q_image_summary(spark, sf_dir):
+    return I.crop_summary(I.content_boxes(page_images(spark, sf_dir)))
+
+
 def q_image_rgb(spark, sf_dir):
     rgb = I.rgb_images(page_images(spark, sf_dir))
     return rgb.select(_doc_id(), F.octet_length("rgb").cast("long").alias("n_bytes"))
@@ -85,6 +89,7 @@ QUERIES = {
     "image_bbox": q_image_bbox,
     "image_crop": q_image_crop,
     "image_rgb": q_image_rgb,
+    "image_summary": q_image_summary,
     "base64_text": q_base64_text,
     "image_payload": q_image_payload,
 }
@@ -130,5 +135,9 @@ ORACLES = {
                       FROM ({_CLAMPED})""",
     "image_rgb": "SELECT doc_id, CAST((width + 20) * height * 3 AS BIGINT) AS n_bytes FROM (" + _BOX + ")",
     "base64_text": "SELECT doc_id, to_base64(encode(text)) AS b64 FROM documents",
+    "image_summary": f"""
+        SELECT count(*) AS processed, count(*) FILTER (WHERE status = 'cropped') AS cropped,
+               count(*) FILTER (WHERE status = 'blank') AS skipped, CAST(0 AS BIGINT) AS errors
+        FROM ({_CLAMPED})""",
     "image_payload": _request_sql(),
 }

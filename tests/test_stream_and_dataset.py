@@ -73,3 +73,16 @@ def test_cut_lineage_uses_the_shared_checkpoint_folder(spark):
     cut = cut_lineage(df.where(F.col("doc_id") % 2 == 0))
     assert cut.count() == df.where(F.col("doc_id") % 2 == 0).count()
     assert any(os.scandir(folder.replace("file:", "")))
+
+
+def test_chat_render_and_prompt_lines(spark):
+    from furiframe.operators import chat
+
+    turns = spark.createDataFrame(
+        [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (1, 2, "user", "c"), (2, 0, "user", "x")],
+        "conv_id long, turn long, role string, text string")
+    r = {x.conv_id: x.rendered for x in chat.chat_render(turns, generation_prompt="model").collect()}
+    assert r[1] == ("<start_of_turn>user\na<end_of_turn>\n<start_of_turn>assistant\nb<end_of_turn>\n"
+                    "<start_of_turn>user\nc<end_of_turn>\n<start_of_turn>model\n")
+    lines = [(x.conv_id, x.turn, x.line) for x in chat.prompt_lines(turns).collect()]
+    assert lines == [(1, 0, "User: a\nAssistant: b")]
