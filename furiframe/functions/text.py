@@ -23,6 +23,11 @@ PY_WHITESPACE_CHARS = (
 NUMERALS = "一二三四五六七八九十０１２３４５６７８９"
 # Leading characters that suppress ruby output.
 ASCII_DIGITS = "0123456789"
+# Analyzer input escape: newline -> space, fullwidth tilde -> '~', line-break tags.
+ESCAPE_FROM, ESCAPE_TO = "\n～", " ~"
+BREAK_TAG_PATTERN, BREAK_TAG = "<br( /)?>", "<br>"
+# Id given to a corpus record without one (followed by its 1-based position).
+FALLBACK_ID_PREFIX = "unknown_id_"
 # Default sentence delimiter, segment length cap and the per-file annotation budget.
 SENTENCE_DELIMITER = "。"
 SEGMENT_MAX_CHARS = 100
@@ -69,8 +74,8 @@ def score_normalize(c) -> Column:
 
 def escape_text(c) -> Column:
     """Analyzer input escape: newline -> space, U+FF5E -> '~', '<br />' -> '<br>'."""
-    folded = F.translate(_col(c), "\n～", " ~")
-    return F.regexp_replace(folded, "<br( /)?>", "<br>")
+    folded = F.translate(_col(c), ESCAPE_FROM, ESCAPE_TO)
+    return F.regexp_replace(folded, BREAK_TAG_PATTERN, BREAK_TAG)
 
 
 def kana_fold(c) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from furiframe.functions.text import (
     ANNOTATION_BUDGET,
+    FALLBACK_ID_PREFIX,
     SEGMENT_MAX_CHARS,
     SENTENCE_DELIMITER,
     py_strip,
@@ -76,7 +77,7 @@ def fallback_ids(corpus: DataFrame, id_col: str = "id", ordinal_col: str = "ordi
     """Missing ids become ``unknown_id_<ordinal>`` (1-based source position)."""
     return corpus.withColumn(
         out_col,
-        F.coalesce(F.col(id_col), F.concat(F.lit("unknown_id_"), F.col(ordinal_col).cast("string"))),
+        F.coalesce(F.col(id_col), F.concat(F.lit(FALLBACK_ID_PREFIX), F.col(ordinal_col).cast("string"))),
     )
 
 
