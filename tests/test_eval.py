@@ -72,8 +72,8 @@ def test_key_sets(spark):
 
 
 def test_run_slug(spark):
-    df = spark.createDataFrame([("gemma3:12b", 0.1)], "m string, t double")
-    assert df.select(ev.run_slug("m", "t").alias("s")).first()["s"] == "gemma3_12b_t0.1"
+    df = spark.createDataFrame([("vlm:12b", 0.1)], "m string, t double")
+    assert df.select(ev.run_slug("m", "t").alias("s")).first()["s"] == "vlm_12b_t0.1"
 
 
 def test_edit_distance_shortcuts_are_exact(spark):

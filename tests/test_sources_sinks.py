@@ -60,11 +60,11 @@ def test_manifest_sees_zero_byte_text(spark, folders):
 def test_run_partitioned_output(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="furiframe-runs-"), "recognized")
     df = spark.createDataFrame(
-        [("gemma3:12b", 0.1, "2026-01-01 00:00:00", "a.md", "x"), ("other", 0.8, "2026-01-02 00:00:00", "a.md", "y")],
+        [("vlm:12b", 0.1, "2026-01-01 00:00:00", "a.md", "x"), ("other", 0.8, "2026-01-02 00:00:00", "a.md", "y")],
         "model string, temperature double, run_ts string, name string, text string",
     ).withColumn("run_ts", F.to_timestamp("run_ts"))
     sinks.write_runs(df, out, mode="overwrite")
-    back = spark.read.parquet(out).where((F.col("model") == "gemma3:12b") & (F.col("temperature") == 0.1))
+    back = spark.read.parquet(out).where((F.col("model") == "vlm:12b") & (F.col("temperature") == 0.1))
     assert [(r["name"], r["text"]) for r in back.collect()] == [("a.md", "x")]
     sinks.write_table(df.select("name", "text"), out + "_tbl")
     assert spark.read.parquet(out + "_tbl").count() == 2
