@@ -8,3 +8,10 @@ registered queries over the driver tables in ``furiframe.plans``.
 """
 
 __version__ = "0.1.0"
+
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Functions of this package travel to the executors by value: nothing needs installing there.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
