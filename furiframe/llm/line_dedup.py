@@ -15,13 +15,15 @@ from pyspark.sql import types as T
 
 from furiframe.llm.common import ASCII_SPACE, frozen, shuffle_partitions, text_or_empty
 
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
+def line_keys(text: str) -> list[bytes]:
+    """Each line's key in UTF-8: ASCII white space stripped at both ends, A-Z lower-cased (as bytes.lower does)."""
+    space = ASCII_SPACE.encode()
+    return [line.strip(space) for line in text.encode("utf-8", "surrogatepass").lower().split(b"\n")]
 
-def line_key(line: str) -> str:
-    """ASCII white space stripped at both ends, A-Z lower-cased."""
-    key = line.strip(ASCII_SPACE)
-    return key.lower() if key.isascii() else key.translate(_LOWER)
+
+def _long_enough(key: bytes, min_chars: int) -> bool:
+    return len(key) >= 4 * min_chars or len(key) >= min_chars and len(key.decode("utf-8", "surrogatepass")) >= min_chars
 
 
 def _explode_lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -33,14 +35,13 @@ def _explode_lines(docs: DataFrame, min_chars: int) -> DataFrame:
         for b in batches:
             digests, source, counts, flat, sizes = [], [], [], [], []
             for i, text in enumerate(b.column(2)):
-                at: dict[str, list[int]] = {}
-                lines = text.as_py().split("\n")
-                for p, line in enumerate(lines):
-                    key = line_key(line)
-                    if len(key) >= min_chars:
+                at: dict[bytes, list[int]] = {}
+                lines = line_keys(text.as_py())
+                for p, key in enumerate(lines):
+                    if _long_enough(key, min_chars):
                         at.setdefault(key, []).append(p)
                 for key, where in at.items():
-                    digests.append(xxhash.xxh3_128_digest(key.encode("utf-8", "surrogatepass")))
+                    digests.append(xxhash.xxh3_128_digest(key))
                     flat += where
                     sizes.append(len(where))
                 source += [i] * len(at)

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from furiframe.llm.bpe import decode_ids, encode_documents, load_ranks
 from furiframe.llm.exact_dedup import exact_dedup
+from furiframe.llm.langid import fit_language_id, predict_language
 from furiframe.llm.line_dedup import dedup_lines
+from furiframe.llm.packing import pack_documents
+from furiframe.llm.quality_model import fit_quality, score_quality
+from furiframe.llm.quality_rules import quality_rules
 from furiframe.llm.sharding import shard_documents
+from furiframe.llm.simhash import simhash_dedup
+from furiframe.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,12 +26,46 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir), shards=8)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_toxicity(docs, model, threshold=0.3)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(documents(spark, sf_dir), min_docs=10, min_chars=1, keep="none")
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped",
                       F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    tokens = decode_ids(encode_documents(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN), ranks)
+    return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(documents(spark, sf_dir), shingle=3, bits=3).select("doc_id", "fingerprint", "component_id")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir), host_limit=0.5)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return predict_language(docs, fit_language_id(docs))
+
+
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score_quality(docs, fit_quality(docs), threshold=0.5)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -85,10 +127,64 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
+# Word counts as in the rules; the host verdict repeats the moment fit of the beta prior.
+_OP7 = """
+WITH words AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words)
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows), range(3) r(k)
+  WHERE n > 1 GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM words)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
+), counts AS (
+  SELECT doc_id, source, len(w) AS n_words,
+    length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM words LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
+), rules AS (
+  SELECT *, unnest([{'r': 1, 'f': n_words < 50}, {'r': 2, 'f': 100 * n_repeat_words > 50 * n_words},
+                    {'r': 3, 'f': 10 * n_symbols > n_words}, {'r': 4, 'f': 100 * n_dup_lines > 30 * n_lines}], recursive := true)
+  FROM counts WHERE source IS NOT NULL
+), hosts AS (
+  SELECT source, r, count(*) AS n, count(*) FILTER (f) AS k FROM rules GROUP BY ALL
+), prior AS (
+  SELECT r, avg(k / n) AS m, avg(k / n) * (1 - avg(k / n)) AS spread,
+         greatest(var_pop(k / n) - avg(k / n) * (1 - avg(k / n)) * avg(1 / n), 1e-6) AS own
+  FROM hosts GROUP BY r
+), shrunk AS (
+  SELECT source, n, greatest(spread / own - 1, 1.0) AS s,
+         (k + m * greatest(spread / own - 1, 1.0)) / (n + greatest(spread / own - 1, 1.0)) AS mean
+  FROM hosts JOIN prior USING (r)
+), bad AS (
+  SELECT DISTINCT source FROM shrunk WHERE mean - 2 * sqrt(mean * (1 - mean) / (n + s + 1)) > 0.5
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       bad.source IS NOT NULL AS host_rejected,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND bad.source IS NULL AS kept
+FROM counts LEFT JOIN bad USING (source)
+"""
+
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_toxicity": op2_toxicity,
     "op3_line_dedup": op3_line_dedup,
+    "op4_packing": op4_packing,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op6_simhash": op6_simhash,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_language_id": op8_language_id,
+    "op9_quality_model": op9_quality_model,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
-ORACLES = {"op1_sharding": _OP1, "op3_line_dedup": _OP3, "op10_exact_dedup": _OP10}
+ORACLES = {"op1_sharding": _OP1, "op3_line_dedup": _OP3, "op7_quality_rules": _OP7, "op10_exact_dedup": _OP10}
