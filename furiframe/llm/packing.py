@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,49 +18,97 @@ from pyspark.sql import types as T
 
 from furiframe.llm.common import frozen, ranked, text_or_empty
 
-# Python's and Arrow's white space has these four more than the tokenizer's \s.
+_SLICE_BYTES = 6 << 20
+_CACHED_RUNS, _CACHED_PARTS = 100_000, 350_000
+_ENDS = frozenset(".,;:!?")
+# Plain words: characters below U+0250, where composition changes nothing and lower-casing one character
+# gives one (but for U+0130).
+_PLAIN = re.compile("[\x00-\u012f\u0131-\u024f]*")
+# Python's and Arrow's white space has these four more than the tokenizer's.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
-_SLICE_BYTES = 4 << 20
-_CACHED_WORDS = 200_000
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """The printable character that byte-level vocabularies write for each byte."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class WordTokenizer:
-    """Token ids of whole texts with a tokenizer that never joins across white space.
+    """Token ids of whole texts with a tokenizer that splits at white space, lower-cases, splits by a
+    pattern and writes bytes (``word_bpe``).
 
-    Each distinct white-space-free run of a slice is encoded once (and cached
-    while the cache is small), then the ids are gathered in text order.
+    Ids are looked up run by run (a run: characters between white space).
+    A new run of plain characters is split here and its parts go straight to
+    the tokenizer's merge model, each part once; any other run goes through
+    the whole tokenizer. Caches of runs and parts are emptied when large.
     """
 
     def __init__(self, tokenizer_json: str):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.cache: dict[str, list[int]] = {}
+        steps = json.loads(tokenizer_json)
+        kinds = [n["type"] for n in steps["normalizer"]["normalizers"]]
+        split, level = steps["pre_tokenizer"]["pretokenizers"]
+        if kinds != ["NFC", "Replace", "Lowercase"] or level["type"] != "ByteLevel" or level["add_prefix_space"]:
+            raise ValueError("this tokenizer does not work by words")
+        self.parts_of = regex.compile(split["pattern"]["Regex"]).findall
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = _byte_alphabet()
+        self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.runs: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.width).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            written = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(self.letters)
+            ids = self.parts[part] = self._pack([t.id for t in self.merge(written)])
+        return ids
+
+    def _run(self, run: str) -> bytes:
+        if not (run.isascii() or _PLAIN.fullmatch(run)):
+            return self._pack(self.tokenizer.encode(run, add_special_tokens=False).ids)
+        # Letters alone, or with one mark behind them, need no pattern.
+        if run.isalpha():
+            return self._part(run.lower())
+        if run[-1:] in _ENDS and run[:-1].isalpha():
+            return self._part(run[:-1].lower()) + self._part(run[-1])
+        return b"".join([self._part(p) for p in self.parts_of(run.lower())])
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        runs = pc.utf8_split_whitespace(texts)
-        coded = runs.flatten().dictionary_encode()
-        codes, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
-        if len(self.cache) > _CACHED_WORDS:
-            self.cache.clear()
-        new = [w for w in words if w not in self.cache]
-        self.cache.update(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
-        ids = [self.cache[w] for w in words]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-        begin = np.concatenate([[0], np.cumsum(sizes)])[:-1] if len(ids) else np.zeros(0, np.int64)
+        split = pc.utf8_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        codes, runs = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.runs) > _CACHED_RUNS:
+            self.runs.clear()
+        if len(self.parts) > _CACHED_PARTS:
+            self.parts.clear()
+        known, get = self.runs, self.runs.get
+        ids = [get(r) for r in runs]
+        for i, found in enumerate(ids):
+            if found is None:
+                ids[i] = known[runs[i]] = self._run(runs[i])
+        flat = np.frombuffer(b"".join(ids), self.width)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width.itemsize
+        begin = np.cumsum(sizes) - sizes
         counts = sizes[codes]
         ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        gather = np.repeat(begin[codes] - (ends - counts), counts) + np.arange(total)
-        tokens = flat[gather]
-        in_doc = np.concatenate([[0], np.cumsum(pc.list_value_length(runs).to_numpy(zero_copy_only=False))]).astype(np.int64)
-        cut = np.concatenate([[0], ends])[in_doc]
-        out = [tokens[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
-        for i, t in enumerate(texts):
-            if _ODD_SPACE.search(t.as_py()):
-                out[i] = np.array(self.tokenizer.encode(t.as_py(), add_special_tokens=False).ids, np.uint32)
+        tokens = flat[np.repeat((begin[codes] - ends + counts).astype(np.int32), counts)
+                      + np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)]
+        in_doc = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        cut = np.concatenate([[0], ends])[in_doc].tolist()
+        out = [tokens[a:b] for a, b in zip(cut, cut[1:])]
+        odd = pc.match_substring_regex(texts, "[\x1c-\x1f]").to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(odd).tolist():
+            out[i] = np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids)
         return out
 
 
@@ -87,7 +135,7 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, capacity: int, end_id: in
                 part = b.slice(lo, hi - lo)
                 source, piece, start, length, crc = [], [], [], [], []
                 for i, ids in enumerate(words.encode(part.column(2))):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                    ids = np.append(ids, end_id).astype("<u4")
                     for k, at in enumerate(range(0, len(ids), capacity)):
                         own = ids[at: at + capacity]
                         source.append(i)
