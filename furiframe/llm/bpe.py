@@ -10,6 +10,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from pyspark.sql import types as T
 
 from furiframe.llm.common import frozen, shuffle_partitions, text_or_empty
 
-BLOCK_BYTES = 16 << 20  # of text whose words share one local dictionary
+BLOCK_BYTES = 32 << 20  # of text whose words share one local dictionary
+_COMMON = 192 + 63 * 256  # words of a block that are numbered by frequency (one or two bytes a position)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -28,11 +30,11 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 def _pack_strings(items: list[bytes]) -> bytes:
     sizes = np.fromiter(map(len, items), "<u4", len(items))
-    return zlib.compress(len(items).to_bytes(8, "little") + sizes.tobytes() + b"".join(items), 1)
+    return zstandard.compress(len(items).to_bytes(8, "little") + sizes.tobytes() + b"".join(items), 3)
 
 
 def _unpack_strings(packed: bytes) -> list[bytes]:
-    raw = zlib.decompress(packed)
+    raw = zstandard.decompress(packed)
     n = int.from_bytes(raw[:8], "little")
     ends = np.cumsum(np.frombuffer(raw, "<u4", n, 8), dtype=np.int64) + 8 + 4 * n
     cut = [8 + 4 * n, *ends.tolist()]
@@ -43,11 +45,11 @@ def _pack_ids(ids: list[list[int]]) -> bytes:
     sizes = np.fromiter(map(len, ids), "<u4", len(ids))
     flat = np.fromiter(chain.from_iterable(ids), "<u4", int(sizes.sum()))
     planes = flat.view(np.uint8).reshape(-1, 4).T.tobytes()  # byte planes: the high bytes are nearly all zero
-    return zlib.compress(len(ids).to_bytes(8, "little") + sizes.view(np.uint8).reshape(-1, 4).T.tobytes() + planes, 1)
+    return zstandard.compress(len(ids).to_bytes(8, "little") + sizes.view(np.uint8).reshape(-1, 4).T.tobytes() + planes, 3)
 
 
 def _unpack_ids(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(zlib.decompress(packed), np.uint8)
+    raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
     n = int.from_bytes(raw[:8].tobytes(), "little")
 
     def numbers(planes: np.ndarray) -> np.ndarray:
@@ -57,36 +59,39 @@ def _unpack_ids(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pack_codes(codes: np.ndarray) -> bytes:
-    """Numbers of a block's words as a compressed byte string: 1 byte below 192, else 2 or 4."""
+    """Numbers of a block's words as a compressed byte string: 1 byte below 192, 2 for other common words, else 4."""
     c = codes.astype(np.uint32)
-    wide = np.where(c < 192, c, np.where(c < 192 + 63 * 256, 192 + ((c - 192) >> 8), 255)).astype(np.uint8)
-    two = (c >= 192) & (c < 192 + 63 * 256)
+    wide = np.where(c < 192, c, np.where(c < _COMMON, 192 + ((c - 192) >> 8), 255)).astype(np.uint8)
+    two = (c >= 192) & (c < _COMMON)
     low = ((c[two] - 192) & 255).astype(np.uint8)
-    rest = c[wide == 255]
-    return zlib.compress(len(c).to_bytes(8, "little") + len(low).to_bytes(8, "little") + wide.tobytes() + low.tobytes()
-                         + rest.astype("<u4").view(np.uint8).reshape(-1, 4).T[:3].tobytes(), 1)
+    rest = (c[wide == 255] - _COMMON).astype("<u4")
+    planes = rest.view(np.uint8).reshape(-1, 4).T[:3]
+    head = len(c).to_bytes(8, "little") + len(low).to_bytes(8, "little")
+    return head + zstandard.compress(wide.tobytes() + low.tobytes() + planes.tobytes(), 3)
 
 
 def _unpack_codes(packed: bytes) -> np.ndarray:
-    raw = np.frombuffer(zlib.decompress(packed), np.uint8)
-    n, m = (int.from_bytes(raw[a: a + 8].tobytes(), "little") for a in (0, 8))
-    wide, low, planes = raw[16: 16 + n], raw[16 + n: 16 + n + m], raw[16 + n + m:].reshape(3, -1)
+    n, m = (int.from_bytes(packed[a: a + 8], "little") for a in (0, 8))
+    raw = np.frombuffer(zstandard.decompress(packed[16:]), np.uint8)
+    wide, low, planes = raw[:n], raw[n: n + m], raw[n + m:].reshape(3, -1).astype(np.int64)
     out = wide.astype(np.int64)
-    out[(wide >= 192) & (wide < 255)] = 192 + ((wide[(wide >= 192) & (wide < 255)].astype(np.int64) - 192) << 8) + low
-    out[wide == 255] = planes[0].astype(np.int64) | planes[1].astype(np.int64) << 8 | planes[2].astype(np.int64) << 16
+    two = (wide >= 192) & (wide < 255)
+    out[two] = 192 + ((out[two] - 192) << 8) + low
+    out[wide == 255] = _COMMON + (planes[0] | planes[1] << 8 | planes[2] << 16)
     return out
 
 
 def split_words(docs: DataFrame, pattern: str, parts: int, id_col: str, text_col: str) -> DataFrame:
     """Rows of two kinds, a block of documents at a time.
 
-    kind 0: (block, doc_id, data = the text's pre-tokens by position, as numbers
-    in the block's dictionary). kind 1: (block, part, data = the dictionary's
-    words of that hash part). A block's words are numbered by frequency within
-    (part, word) lists: ``data`` of kind 1 carries each word with its number.
+    kind 0: (block, doc_ids, data = the texts' pre-tokens by position, as
+    numbers in the block's dictionary, and how many each text has). kind 1:
+    (block, part, data = the dictionary's words of that hash part). The most
+    frequent words have the lowest numbers, and ``data`` names them; the
+    others are numbered by part and word, so their first number is enough.
     """
-    id_type = docs.schema[id_col].dataType
-    names = ["kind", "block", "part", "doc_id", "data"]
+    ids_type = T.ArrayType(docs.schema[id_col].dataType)
+    names = ["kind", "block", "part", "doc_ids", "data"]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -98,30 +103,40 @@ def split_words(docs: DataFrame, pattern: str, parts: int, id_col: str, text_col
             nonlocal number
             block = (TaskContext.get().partitionId() << 24) + number
             number += 1
-            # Numbers by falling frequency, so that most positions take one byte.
-            seen = np.zeros(len(words), np.int64)
-            for c in coded:
-                seen += np.bincount(c, minlength=len(words))
-            order = np.argsort(-seen, kind="stable")
-            renumber = np.empty(len(words), np.int64)
-            renumber[order] = np.arange(len(words))
-            for at in range(0, len(ids), 500):
-                own = [_pack_codes(renumber[c]) for c in coded[at: at + 500]]
-                n = len(own)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([0] * n, pa.int32()), pa.array([block] * n, pa.int64()), pa.array([-1] * n, pa.int32()),
-                    pa.array(ids[at: at + 500], id_arrow), pa.array(own, pa.binary())], names)
-            dealt: dict[int, list[tuple[bytes, int]]] = defaultdict(list)
-            for w, c in zip(words, renumber.tolist()):
+
+            def row(kind: int, part: int, keys: list | None, data: bytes) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([
+                    pa.array([kind], pa.int32()), pa.array([block], pa.int64()), pa.array([part], pa.int32()),
+                    pa.array([keys], pa.list_(id_arrow)), pa.array([data], pa.binary())], names)
+
+            flat = np.concatenate(coded)
+            common = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")[:_COMMON]
+            renumber = np.full(len(words), -1, np.int64)
+            renumber[common] = np.arange(len(common))
+            named: list[list[tuple[bytes, int]]] = [[] for _ in range(parts)]
+            others: list[list[tuple[bytes, int]]] = [[] for _ in range(parts)]
+            for i, (w, c) in enumerate(zip(words, renumber.tolist())):
                 raw = w.encode("utf-8", "surrogatepass")
-                dealt[zlib.crc32(raw) % parts].append((raw, c))
-            for part, own in dealt.items():
-                own.sort()
-                at = np.array([c for _, c in own], np.int64)
-                data = _pack_strings([_pack_strings([w for w, _ in own]), _pack_codes(at)])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([1], pa.int32()), pa.array([block], pa.int64()), pa.array([part], pa.int32()),
-                    pa.array([None], id_arrow), pa.array([data], pa.binary())], names)
+                part = zlib.crc32(raw) % parts
+                if c >= 0:
+                    named[part].append((raw, c))
+                else:
+                    others[part].append((raw, i))
+            begin = _COMMON
+            for part in range(parts):
+                own = sorted(others[part])
+                renumber[[i for _, i in own]] = np.arange(begin, begin + len(own))
+                if own or named[part]:
+                    codes = np.array([c for _, c in named[part]], np.int64)
+                    yield row(1, part, None, _pack_strings([
+                        _pack_strings([w for w, _ in named[part]]), _pack_codes(codes),
+                        _pack_strings([w for w, _ in own]), begin.to_bytes(8, "little")]))
+                begin += len(own)
+            for at in range(0, len(ids), 2000):
+                some = coded[at: at + 2000]
+                counts = np.fromiter(map(len, some), "<u4", len(some))
+                data = _pack_strings([counts.tobytes(), _pack_codes(renumber[np.concatenate(some)])])
+                yield row(0, -1, ids[at: at + 2000], data)
 
         ids: list = []
         coded: list[np.ndarray] = []
@@ -135,7 +150,7 @@ def split_words(docs: DataFrame, pattern: str, parts: int, id_col: str, text_col
                 coded.append(np.fromiter(map(table.__getitem__, found), np.uint32, len(found)))
                 ids.append(key)
                 size += text.as_buffer().size + 64
-                if size > BLOCK_BYTES or len(table) > 1 << 23:
+                if size > BLOCK_BYTES:
                     yield from block_rows(ids, coded, list(table))
                     ids, coded, size = [], [], 0
                     table = defaultdict()
@@ -145,12 +160,22 @@ def split_words(docs: DataFrame, pattern: str, parts: int, id_col: str, text_col
 
     schema = T.StructType([
         T.StructField("kind", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("part", T.IntegerType()),
-        T.StructField("doc_id", id_type), T.StructField("data", T.BinaryType())])
+        T.StructField("doc_ids", ids_type), T.StructField("data", T.BinaryType())])
     return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("_ff_text")).mapInArrow(split, schema)
 
 
-def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids) of every row; ``ids`` are little-endian unsigned 32-bit integers.
+def token_bytes(ranks: dict[bytes, int]) -> list[bytes]:
+    """The token-byte table: the bytes of each id."""
+    out = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
+def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
+                     decoded: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids[, decoded]) of every row; ``ids`` are little-endian unsigned 32-bit
+    integers; with ``decoded`` their bytes as :func:`decode_ids` gives them, in the same pass.
 
     Every match of ``pattern`` in the whole text is encoded by itself. Texts
     become positions in a block's dictionary; the dictionaries' words are
@@ -171,46 +196,57 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
         # A word is one match already: the pattern takes all of it.
         coder = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
         known: dict[bytes, list[int]] = {}
-        blocks, data = [], []
-        for block, packed in zip(group.column("block").to_pylist(), group.column("data")):
-            inner, codes = _unpack_strings(packed.as_py())
-            words = _unpack_strings(inner)
+
+        def ids_of(packed: bytes) -> bytes:
+            words = _unpack_strings(packed)
             for w in words:
                 if w not in known:
                     known[w] = coder.encode_ordinary(w.decode("utf-8", "surrogatepass"))
-            blocks.append(block)
-            data.append(_pack_strings([_pack_ids([known[w] for w in words]), codes]))
-        return pa.table({"block": pa.array(blocks, pa.int64()), "data": pa.array(data, pa.binary())})
+            return _pack_ids([known[w] for w in words])
+
+        data = []
+        for packed in group.column("data"):
+            named, codes, others, begin = _unpack_strings(packed.as_py())
+            data.append(_pack_strings([ids_of(named), codes, ids_of(others), begin]))
+        return pa.table({"block": group.column("block"), "data": pa.array(data, pa.binary())})
 
     found = pieces.where("kind = 1").select("block", "part", "data").groupBy("part").applyInArrow(encode, "block long, data binary")
 
     def join(texts: pa.Table, words: pa.Table) -> pa.Table:
+        table = token_bytes(ranks).__getitem__ if decoded else None
         sizes_of, ids_of, codes_of = [], [], []
         for packed in words.column("data"):
-            ids, codes = _unpack_strings(packed.as_py())
-            n, flat = _unpack_ids(ids)
-            sizes_of.append(n.astype(np.int64))
-            ids_of.append(flat)
-            codes_of.append(_unpack_codes(codes))
+            named, codes, others, begin = _unpack_strings(packed.as_py())
+            for ids, own in ((named, _unpack_codes(codes)), (others, None)):
+                n, flat = _unpack_ids(ids)
+                sizes_of.append(n.astype(np.int64))
+                ids_of.append(flat)
+                codes_of.append(own if own is not None else int.from_bytes(begin, "little") + np.arange(len(n)))
         if sizes_of:
             n, flat, codes = np.concatenate(sizes_of), np.concatenate(ids_of), np.concatenate(codes_of)
-            sizes, begin = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
-            sizes[codes], begin[codes] = n, np.cumsum(n) - n
-        out, counts = [], []
-        for packed in texts.column("data"):
-            c = _unpack_codes(packed.as_py())
-            if not len(c):
-                out.append(b"")
-                counts.append(0)
-                continue
-            k = sizes[c]
-            ends = np.cumsum(k)
-            out.append(flat[np.repeat(begin[c] - (ends - k), k) + np.arange(ends[-1])].astype("<u4").tobytes())
-            counts.append(int(ends[-1]))
-        return pa.table({"doc_id": texts.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()), "ids": pa.array(out, pa.binary())})
-
-    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    texts = pieces.where("kind = 0").select("block", "doc_id", "data")
+            sizes, begins = np.zeros(codes.max() + 1 if len(codes) else 0, np.int64), np.zeros(codes.max() + 1 if len(codes) else 0, np.int64)
+            sizes[codes], begins[codes] = n, np.cumsum(n) - n
+        keys, counts, out, bytes_ = [], [], [], []
+        for ids, packed in zip(texts.column("doc_ids"), texts.column("data")):
+            lengths, codes = _unpack_strings(packed.as_py())
+            ends = np.cumsum(np.frombuffer(lengths, "<u4"), dtype=np.int64)
+            c = _unpack_codes(codes)
+            for key, a, b in zip(ids.as_py(), [0, *ends.tolist()], ends.tolist()):
+                keys.append(key)
+                k = sizes[c[a:b]] if b > a else np.zeros(0, np.int64)
+                stop = np.cumsum(k)
+                own = flat[np.repeat(begins[c[a:b]] - (stop - k), k) + np.arange(stop[-1])].astype("<u4") if b > a else k.astype("<u4")
+                counts.append(len(own))
+                out.append(own.tobytes())
+                if table:
+                    bytes_.append(b"".join(map(table, own.tolist())))
+        columns = {"doc_id": pa.array(keys, texts.schema.field("doc_ids").type.value_type), "n_tokens": pa.array(counts, pa.int64()),
+                   "ids": pa.array(out, pa.binary())}
+        return pa.table(columns | ({"decoded": pa.array(bytes_, pa.binary())} if decoded else {}))
+
+    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()),
+                           *([T.StructField("decoded", T.BinaryType())] if decoded else [])])
+    texts = pieces.where("kind = 0").select("block", "doc_ids", "data")
     return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(join, schema)
 
 
@@ -219,9 +255,7 @@ def decode_ids(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids"
 
     An id without a token raises; null ids stay null.
     """
-    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        tokens[rank] = token
+    tokens = token_bytes(ranks)
     names = encoded.columns
     at = names.index(ids_col)
 

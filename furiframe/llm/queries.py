@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furiframe.llm.bpe import decode_ids, encode_documents, load_ranks
+from furiframe.llm.bpe import encode_documents, load_ranks
 from furiframe.llm.exact_dedup import exact_dedup
 from furiframe.llm.langid import fit_language_id, predict_language
 from furiframe.llm.line_dedup import dedup_lines
@@ -44,7 +44,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    tokens = decode_ids(encode_documents(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN), ranks)
+    tokens = encode_documents(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN, decoded=True)
     return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
