@@ -60,10 +60,16 @@ def with_columns(schema: T.StructType, *more: tuple[str, T.DataType]) -> T.Struc
     return T.StructType([*schema.fields, *(T.StructField(n, t) for n, t in more)])
 
 
-def bounded_sample(df: DataFrame, order_key: Column, rows: int) -> DataFrame:
-    """The ``rows`` rows with the smallest hash of ``order_key``: a fixed, order-free sample
-    for fitting models (each task keeps at most ``rows`` rows)."""
-    return df.orderBy(F.xxhash64(F.lit("sample"), order_key), order_key).limit(rows)
+def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """At most ``rows`` rows, those with the smallest hashes of ``key``: a fixed sample for fitting models.
+
+    The rows are counted first, and only hashes in the lowest share that
+    should hold ``rows`` rows (and a half more) are sorted, however large the table.
+    """
+    total = df.count()
+    place = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 40))
+    near = df.where(place < min(1 << 40, int(1.5 * rows / max(total, 1) * (1 << 40)) + (1 << 30)))
+    return near.orderBy(place, key).limit(rows)
 
 
 def ranked(df: DataFrame, group: str, order: Sequence[str], out: str) -> DataFrame:

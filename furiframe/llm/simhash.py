@@ -8,11 +8,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from furiframe.llm.common import frozen, shuffle_partitions, text_or_empty
+from furiframe.llm.common import bounded_sample, frozen, shuffle_partitions, text_or_empty
 
 SEED = 42
 _LOW, _HIGH = np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFF00000000)
@@ -174,10 +174,9 @@ def fingerprint_links(nodes: DataFrame, bits: int, shard_rows: int = 30_000, sam
     is sent to its own leaf (shard) and to those shards whose boundary its
     ball overlaps. A shard searches its own part exactly.
     """
-    total = nodes.count()
-    shards = max(1, -(-total // shard_rows))
+    shards = max(1, -(-nodes.count() // shard_rows))
     take = min(max_sample, sample_a_shard * shards)
-    sample = np.array(sorted(r["fp"] for r in nodes.orderBy(F.xxhash64("fp"), "fp").limit(take).collect()), np.int64).view(np.uint64)
+    sample = np.array(sorted(r["fp"] for r in bounded_sample(nodes.select("fp"), F.col("fp"), take).collect()), np.int64).view(np.uint64)
     leaf_size = max(1, -(-len(sample) // shards))
     forests = [build_tree(sample, leaf_size, m)[0] for m in link_metrics(bits)]
 
@@ -204,17 +203,21 @@ def fingerprint_links(nodes: DataFrame, bits: int, shard_rows: int = 30_000, sam
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node with a link, by contraction.
 
-    Each round joins every node to its smallest neighbour and replaces links
-    by those between the joined nodes, without loops and repeats. Node
-    numbers are in random order, so a round removes a fixed share of the
-    nodes, long chains included. Every round is checkpointed; only the number
-    of links left comes to the driver.
+    Each round joins every node to the first of its neighbours and itself, in
+    the order of a hash, and replaces links by those between the joined
+    nodes, without loops and repeats. That order is as good as random, so a
+    round removes a fixed share of the nodes, long chains included. Every
+    round is checkpointed; only whether links are left comes to the driver.
     """
+    def place(c: str) -> Column:
+        return F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("n"))
+
     left = frozen(links.where("a <> b").distinct())
     maps: list[DataFrame] = []
     while left.limit(1).count():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = frozen(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("up")))
+        up = frozen(both.groupBy("a").agg(F.min(place("b")).alias("m")).select(
+            F.col("a").alias("node"), F.least(place("a"), F.col("m"))["n"].alias("up")))
         maps.append(up)
         a = up.select(F.col("node").alias("a"), F.col("up").alias("ua"))
         b = up.select(F.col("node").alias("b"), F.col("up").alias("ub"))
