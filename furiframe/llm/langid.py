@@ -90,7 +90,8 @@ def train_cnn(x: np.ndarray, y: np.ndarray, langs: list[str], steps: int = 700,
                 for j in range(w):
                     byte = xb[rows, where[i] + j]  # (n, FILTERS)
                     g[f"f{w}"][j] = np.einsum("nfe,nf->ef", p["e"][byte], da)
-                    np.add.at(g["e"], byte, da[:, :, None] * p[f"f{w}"][j].T[None])
+                    for d in range(EMBEDDING):
+                        g["e"][:, d] += np.bincount(byte.ravel(), (da * p[f"f{w}"][j][d]).ravel(), 256).astype(np.float32)
             t += 1
             for name in p:
                 m[name] = 0.9 * m[name] + 0.1 * g[name]
