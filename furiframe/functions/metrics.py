@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,80 +26,6 @@ def edit_distance(a, b) -> Column:
             .otherwise(F.levenshtein(a, b)))
 
 
-def _codepoints(s: str) -> np.ndarray:
-    return np.frombuffer(s.encode("utf-32-le"), np.uint32)
-
-
-def levenshtein_batch(a_list, b_list, chunk: int = 2048) -> np.ndarray:
-    """Code-point Levenshtein for a batch of pairs, vectorised across pairs.
-
-    Pairs are trimmed of their common prefix and suffix, sorted by length and
-    processed in chunks: one DP row at a time for the whole chunk, the
-    insertion chain of a row being a prefix-minimum scan
-    (``cur[j] = j + min_k<=j (tmp[k] - k)``).
-    """
-    n = len(a_list)
-    out = np.zeros(n, np.int64)
-    A, B = [], []
-    for a, b in zip(a_list, b_list):
-        p, la, lb = 0, len(a), len(b)
-        m = min(la, lb)
-        while p < m and a[p] == b[p]:
-            p += 1
-        q = 0
-        while q < m - p and a[la - 1 - q] == b[lb - 1 - q]:
-            q += 1
-        A.append(_codepoints(a[p:la - q]))
-        B.append(_codepoints(b[p:lb - q]))
-    la = np.fromiter((x.size for x in A), np.int64, n)
-    lb = np.fromiter((x.size for x in B), np.int64, n)
-    trivial = (la == 0) | (lb == 0)
-    out[trivial] = np.maximum(la, lb)[trivial]
-    todo = np.flatnonzero(~trivial)
-    todo = todo[np.argsort(la[todo] * (1 << 32) + lb[todo], kind="stable")]
-    for s in range(0, todo.size, chunk):
-        idx = todo[s:s + chunk]
-        k, ma, mb = idx.size, int(la[idx].max()), int(lb[idx].max())
-        pa = np.full((k, ma), 0xFFFFFFFE, np.uint32)
-        pb = np.full((k, mb), 0xFFFFFFFF, np.uint32)
-        for r, i in enumerate(idx):
-            pa[r, :la[i]] = A[i]
-            pb[r, :lb[i]] = B[i]
-        dt = np.int32 if ma + mb > 30000 else np.int16
-        ar = np.arange(mb + 1, dtype=dt)
-        prev = np.broadcast_to(ar, (k, mb + 1)).copy()
-        tmp = np.empty_like(prev)
-        lai, lbi = la[idx], lb[idx]
-        res = np.zeros(k, np.int64)
-        for i in range(1, ma + 1):
-            tmp[:, 0] = i
-            np.minimum(prev[:, 1:] + 1, prev[:, :-1] + (pb != pa[:, i - 1:i]), out=tmp[:, 1:])
-            np.subtract(tmp, ar, out=tmp)
-            cur = np.minimum.accumulate(tmp, axis=1)
-            cur += ar
-            done = lai == i
-            if done.any():
-                res[done] = cur[done, lbi[done]]
-            prev = cur
-        out[idx] = res
-    return out
-
-
-def _lev_series(a: pd.Series, b: pd.Series) -> pd.Series:
-    ok = a.notna() & b.notna()
-    res = pd.Series(pd.NA, index=a.index, dtype="Int64")
-    if ok.any():
-        res[ok] = levenshtein_batch(a[ok].tolist(), b[ok].tolist())
-    return res
-
-
-def edit_distance_vectorized(a, b) -> Column:
-    """Same result as ``edit_distance``; an Arrow-batched kernel that runs the
-    DP for thousands of pairs at once (several times faster than the
-    built-in on OCR-sized texts)."""
-    return F.pandas_udf(_lev_series, "long")(_col(a), _col(b))
-
-
 def cer_from_parts(edits, ref_len, hyp_len) -> Column:
     """CER: empty reference -> 1.0 if the prediction is non-empty else 0.0."""
     return (

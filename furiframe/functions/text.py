@@ -6,14 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- Fixed values (must equal the reference's behaviour) --------------------
-# Characters Python's str.strip() removes (str.isspace), as a regex class.
-# Written with \x{...} escapes so the same text works in Java regex and RE2.
-PY_WHITESPACE_CLASS = (
-    r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
-PY_STRIP_PATTERN = "^" + PY_WHITESPACE_CLASS + "+|" + PY_WHITESPACE_CLASS + "+$"
-# The same set as plain characters (for btrim).
+# Characters Python's str.strip() removes (str.isspace).
 PY_WHITESPACE_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     + "".join(chr(c) for c in range(0x2000, 0x200B))
@@ -114,19 +107,16 @@ def with_suffix(c, new_suffix: str) -> Column:
     return F.concat(stem(c), F.lit(new_suffix))
 
 
-def truncate_chars(c, n: int) -> Column:
-    """First ``n`` code points (Python ``s[:n]``)."""
-    return F.left(_col(c), F.lit(n))
-
-
-def _charset_batch(encoding: str):
-    def run(s):
-        return s.map(lambda x: None if x is None else x.encode(encoding, "ignore").decode(encoding))
-    return run
+def encodable(encoding: str) -> str:
+    """All characters that a codec can represent, in code point order (from the codec itself)."""
+    return "".join(c for c in map(chr, [*range(0xD800), *range(0xE000, 0x110000)]) if c.encode(encoding, "ignore"))
 
 
 def charset_filter(c, encoding: str = "euc_jp") -> Column:
-    """Drop the characters ``encoding`` cannot represent (Python codecs,
-    'ignore'), as the analyzer pipes did for EUC-JP / Shift_JIS. Spark's
-    ``encode`` rejects these charsets, so this is an Arrow-batched UDF."""
-    return F.pandas_udf(_charset_batch(encoding), "string")(_col(c))
+    """Drop the characters ``encoding`` cannot represent ('ignore'), as the
+    analyzer pipes did for EUC-JP / Shift_JIS. Spark's ``encode`` rejects
+    these charsets, so the text without its representable characters gives
+    the ones to delete; all in the JVM."""
+    text = _col(c)
+    foreign = F.translate(text, encodable(encoding), "")
+    return F.call_function("translate", text, foreign, F.lit(""))

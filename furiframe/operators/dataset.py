@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furiframe.functions.text import py_strip
+from furiframe.operators.joins import hash32, hash_rank
 
 # --- Fixed values (prompt texts of the recognition task) --------------------
 OCR_USER_PROMPT = (
@@ -28,13 +29,14 @@ MESSAGES = f"array<{MESSAGE}>"
 
 def pair_dataset(images: DataFrame, texts: DataFrame, key: str = "stem",
                  path_col: str = "path", text_col: str = "text",
-                 on_missing: str = "skip") -> DataFrame:
-    """Image x transcript by key -> ``(key, image_path, gt_answer)``.
+                 on_missing: str = "skip", strip: bool = True) -> DataFrame:
+    """Image x transcript by key -> ``(key, image_path, gt_answer)``; ``strip`` trims the transcript
+    (the conversations with a system turn do, those of two turns do not).
 
     ``on_missing='skip'``: inner join (see ``pair_missing`` for the report);
     ``'error'``: left join and fail the job on the first image without text.
     """
-    t = texts.select(key, py_strip(text_col).alias("gt_answer"))
+    t = texts.select(key, (py_strip(text_col) if strip else F.col(text_col)).alias("gt_answer"))
     if on_missing == "skip":
         joined = images.join(t, key, "inner")
         return joined.select(key, F.col(path_col).alias("image_path"), "gt_answer")
@@ -55,18 +57,25 @@ def pair_missing(images: DataFrame, texts: DataFrame, key: str = "stem") -> Data
 def split_hash(key, seed: int = SPLIT_SEED) -> Column:
     """Stable 32-bit bucket hash of ``seed:key`` (md5 based, engine independent)."""
     k = F.col(key) if isinstance(key, str) else key
-    h = F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")))
-    return F.conv(F.substr(h, F.lit(1), F.lit(8)), 16, 10).cast("long")
+    return hash32(F.concat(F.lit(f"{seed}:"), k.cast("string")))
 
 
 def split_train_test(df: DataFrame, key: str, test_fraction: float = TEST_FRACTION,
-                     seed: int = SPLIT_SEED) -> DataFrame:
+                     seed: int = SPLIT_SEED, exact: bool = False) -> DataFrame:
     """Adds ``split`` = 'test' for about ``test_fraction`` of the keys, else 'train'.
 
     A row's side depends only on its key and the seed: stable under
     repartitioning, retries and lost executors (unlike ``randomSplit``), and no
-    shuffle at all.
+    shuffle at all. With ``exact`` the ceil(fraction * rows) rows with the
+    smallest hashes are the test side (unique keys); ranks come from hash
+    parts and their offsets, not from a global sort.
     """
+    if exact:
+        keyed = df.withColumn("_h", split_hash(key, seed))
+        total = keyed.agg(F.count(F.lit(1)).alias("_total")).withColumn("_one", F.lit(1))  # one row: broadcast
+        ranked = hash_rank(keyed, "_h", [key], "_rank").withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
+        test = F.col("_rank") < F.ceil(F.col("_total") * F.lit(test_fraction).cast("decimal(10,6)"))
+        return ranked.withColumn("split", F.when(test, F.lit("test")).otherwise(F.lit("train"))).select(*df.columns, "split")
     cut = int(round(test_fraction * 10000))
     side = F.when(F.pmod(split_hash(key, seed), F.lit(10000)) < cut, F.lit("test")).otherwise(F.lit("train"))
     return df.withColumn("split", side)

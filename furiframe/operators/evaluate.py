@@ -18,6 +18,12 @@ from furiframe.functions.metrics import cer_from_parts, edit_distance, pad_left,
 from furiframe.functions.text import score_normalize
 
 
+# --- Fixed values (report labels) ---------------------------------------------
+REPORT_HEADER = ("Filename", "Character Error Rate (CER)")
+REPORT_AVERAGE, REPORT_ACCURACY = "Average CER:", "Overall Accuracy:"
+# -----------------------------------------------------------------------------
+
+
 def score_pairs(truth: DataFrame, recognized: DataFrame, keys: Sequence[str] = ("name",),
                 truth_col: str = "text", hyp_col: str = "text",
                 extra_cols: Sequence[str] = ()) -> DataFrame:
@@ -58,11 +64,24 @@ def eval_summary(scores: DataFrame, group_cols: Sequence[str] = (), digits: int
 
 
 def eval_report(scores: DataFrame, name_col: str = "name") -> DataFrame:
-    """Fixed-width report line per file: ``name<30 | pct>20``."""
-    return scores.select(
-        F.col(name_col),
-        F.concat(pad_right(name_col, 30), F.lit(" | "), pad_left(percent("cer"), 20)).alias("line"),
-    )
+    """The report in order: ``(section, name, line)``.
+
+    Section 0 is the header, 1 a fixed-width line per file by name
+    (``name<30 | pct>20``), 2 and 3 the average CER and the accuracy (no
+    summary without files). Sorted by range, not in one task.
+    """
+    def line(left, right) -> F.Column:
+        return F.concat(pad_right(left, 30), F.lit(" | "), pad_left(right, 20)).alias("line")
+
+    files = scores.select(F.lit(1).alias("section"), F.col(name_col).alias("name"), line(name_col, percent("cer")))
+    header = scores.sparkSession.range(1).select(
+        F.lit(0).alias("section"), F.lit(None).cast("string").alias("name"), line(F.lit(REPORT_HEADER[0]), F.lit(REPORT_HEADER[1])))
+    mean = scores.agg(F.avg("cer").alias("m")).where(F.col("m").isNotNull())
+    both = mean.select(F.explode(F.array(
+        F.struct(F.lit(2).alias("section"), F.lit(REPORT_AVERAGE).alias("left"), percent("m").alias("right")),
+        F.struct(F.lit(3).alias("section"), F.lit(REPORT_ACCURACY).alias("left"), percent(1 - F.col("m")).alias("right")))).alias("s"))
+    summary = both.select("s.section", F.lit(None).cast("string").alias("name"), line(F.col("s.left"), F.col("s.right")))
+    return header.unionByName(files).unionByName(summary).orderBy("section", "name")
 
 
 def run_slug(model, temperature) -> F.Column:

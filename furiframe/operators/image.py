@@ -28,7 +28,8 @@ TEMPERATURE = 0.1
 
 BOX_SCHEMA = ("origin string, width int, height int, left int, upper int, right int, lower int, "
               "status string, error string")
-CROP_SCHEMA = BOX_SCHEMA + ", png binary"
+CROP_SCHEMA = BOX_SCHEMA + ", png binary, rgb binary"
+RGB_SCHEMA = "origin string, height int, width int, rgb binary, error string"
 
 
 def _pixels(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
@@ -73,9 +74,9 @@ def _crop_rows(pdf: pd.DataFrame, cut: int, margin: int, encode: bool) -> pd.Dat
         rec = {"origin": origin, "width": None, "height": None, "left": None, "upper": None,
                "right": None, "lower": None, "status": None, "error": None}
         if encode:
-            rec["png"] = None
+            rec["png"] = rec["rgb"] = None
         try:
-            if h is None or h < 0 or data is None:
+            if pd.isna(h) or h < 0 or data is None:
                 raise ValueError("undecodable image")
             if w - cut < 0:
                 raise ValueError(f"image narrower than the {cut} px cut")
@@ -91,6 +92,7 @@ def _crop_rows(pdf: pd.DataFrame, cut: int, margin: int, encode: bool) -> pd.Dat
                 rec.update(left=l, upper=u, right=r, lower=d, status="cropped")
                 if encode:
                     rec["png"] = encode_png(_rgba_order(img[u:d, l:r]))
+                    rec["rgb"] = to_rgb(img[u:d, l:r]).tobytes()
         except Exception as e:  # noqa: BLE001 - a bad image is a row, never a failed job
             rec["status"], rec["error"] = "error", str(e)
         out.append(rec)
@@ -121,7 +123,7 @@ def content_boxes(images: DataFrame, image_col: str = "image", cut: int = SCROLL
 
 def crop_images(images: DataFrame, image_col: str = "image", cut: int = SCROLLBAR_PX,
                 margin: int = MARGIN_PX) -> DataFrame:
-    """``content_boxes`` plus the cropped pixels re-encoded as PNG (``png``)."""
+    """``content_boxes`` plus the cropped pixels, re-encoded as PNG (``png``) and as RGB bytes (``rgb``)."""
     flat = _flat(images, image_col)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -133,20 +135,27 @@ def crop_images(images: DataFrame, image_col: str = "image", cut: int = SCROLLBA
 
 
 def rgb_images(images: DataFrame, image_col: str = "image") -> DataFrame:
-    """Force 3-channel RGB: ``origin, height, width, rgb`` (row-major bytes)."""
+    """Force 3-channel RGB: ``origin, height, width, rgb, error`` (row-major bytes; a bad image is a row
+    with an error)."""
     flat = _flat(images, image_col)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             rows = []
             for origin, h, w, c, data in zip(pdf["origin"], pdf["height"], pdf["width"], pdf["nChannels"], pdf["data"]):
-                ok = h is not None and h >= 0 and data is not None
-                rgb = to_rgb(_pixels(int(h), int(w), int(c), data)).tobytes() if ok else None
-                rows.append({"origin": origin, "height": h, "width": w, "rgb": rgb})
+                rgb = error = None
+                try:
+                    if pd.isna(h) or h < 0 or data is None:
+                        raise ValueError("undecodable image")
+                    rgb = to_rgb(_pixels(int(h), int(w), int(c), data)).tobytes()
+                except Exception as e:  # noqa: BLE001 - a bad image is a row, never a failed job
+                    error = str(e)
+                rows.append((origin, None if pd.isna(h) else int(h), None if pd.isna(w) else int(w), rgb, error))
             if rows:
-                yield pd.DataFrame(rows, columns=["origin", "height", "width", "rgb"])
+                yield pd.DataFrame(rows, columns=["origin", "height", "width", "rgb", "error"]).astype(
+                    {"height": "Int32", "width": "Int32"})
 
-    return flat.mapInPandas(run, "origin string, height int, width int, rgb binary")
+    return flat.mapInPandas(run, RGB_SCHEMA)
 
 
 def crop_summary(boxes: DataFrame) -> DataFrame:

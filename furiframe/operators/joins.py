@@ -1,48 +1,31 @@
-"""Lookup joins with a checked broadcast and a salted fallback.
-
-A lookup table (lexicon, per-character readings, vocabulary) is broadcast
-only behind a size check: by default AQE's run-time measurement (the plan
-starts as a shuffle join and is switched to a broadcast join only when the
-measured lookup side is under the threshold), or an explicit bounded row
-count. Beyond the bound the join shuffles; a hot key (say a word that makes
-up a third of all tokens) is split by AQE's skew-join handling or, on
-request, by salting.
+"""Lookup joins with optional salting, and ranks without a global sort.
+
+A lookup table (lexicon, per-character readings, vocabulary) is joined
+plainly: AQE broadcasts it when its measured bytes are under the threshold
+and otherwise shuffles, splitting hot keys. Nothing is counted while a query
+is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows a lookup side may have to be broadcast (about tens of MB for
-# dictionary-like rows); the check runs a bounded ``limit(n + 1).count()``.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def fits_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``small`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return small.limit(max_rows + 1).count() <= max_rows
+from furiframe.session import cut_lineage
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left",
-                max_rows: int | None = None, salt_buckets: int = 0,
-                salt_cols: Sequence[str] | None = None) -> DataFrame:
+                salt_buckets: int = 0, salt_cols: Sequence[str] | None = None) -> DataFrame:
     """Join a large table to a lookup table (unique on ``on``).
 
-    * ``max_rows`` given and the lookup is within it (a bounded count):
-      explicit broadcast.
-    * ``salt_buckets > 0``: salted shuffle join; the big side gets a salt from
-      a hash of ``salt_cols`` (default: all its columns) and the small side is
-      replicated ``salt_buckets`` times, so a hot key is split.
-    * otherwise a plain join: AQE measures the lookup side at run time and
-      broadcasts it only when it is under the broadcast threshold; beyond it
-      the join shuffles and AQE's skew-join handling splits hot keys.
+    ``salt_buckets > 0`` salts the shuffle join: the big side gets a salt from
+    a hash of ``salt_cols`` (default: all its columns) and the small side is
+    replicated ``salt_buckets`` times, so a hot key is split where AQE's
+    skew-join handling is off or can't (the join feeds an aggregate).
     """
     on = list(on)
-    if max_rows is not None and fits_broadcast(small, max_rows):
-        return big.join(F.broadcast(small), on, how)
     if salt_buckets > 0:
         cols = list(salt_cols) if salt_cols else big.columns
         salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt_buckets)))
@@ -51,25 +34,47 @@ def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     return big.join(small, on, how)
 
 
-def dense_ids(df: DataFrame, col: str, out_col: str = "id", buckets: int = 64) -> DataFrame:
-    """Dense 0-based ids for the distinct values of ``col`` without a global sort.
+def hash32(c: Column) -> Column:
+    """First 32 bits of the md5 of a string, as a non-negative long (engine independent)."""
+    return F.conv(F.substr(F.md5(c), F.lit(1), F.lit(8)), 16, 10).cast("long")
 
-    Values are spread over ``buckets`` by hash, ranked inside their bucket,
-    and offset by the sizes of the buckets before them. The per-bucket
-    counts are ``buckets`` rows, so that small table is the only thing
-    ordered as a whole. Ids are deterministic (md5-based buckets, then value
-    order inside a bucket).
+
+def hash_rank(df: DataFrame, hash_col: str, tie_cols: Sequence[str], out_col: str, buckets: int | None = None) -> DataFrame:
+    """0-based rank of every row in the order of a 32-bit hash (then ``tie_cols``), without a global sort.
+
+    The hash range is cut into ``buckets`` equal parts (default: the number
+    of shuffle partitions), rows are ranked inside their part and offset by
+    the sizes of the parts before it. The ranks do not depend on ``buckets``;
+    the table of sizes has at most ``buckets`` rows, so it is broadcast.
     """
-    from pyspark.sql import Window
-
-    vals = df.select(col).distinct().withColumn(
-        "_b", F.pmod(F.conv(F.substr(F.md5(F.col(col).cast("string")), F.lit(1), F.lit(8)), 16, 10)
-                     .cast("long"), F.lit(buckets)))
-    ranked = vals.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(col)) - 1)
-    counts = vals.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_b", (F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))).alias("_o"))
-    offsets = offsets.fillna(0, ["_o"])
-    # ``offsets`` has at most ``buckets`` rows: a proven broadcast bound.
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = df.withColumn("_b", F.floor(F.col(hash_col) * n / 2**32).cast("int"))
+    ranked = part.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(hash_col, *tie_cols)) - 1)
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (part.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o")))
     return (ranked.join(F.broadcast(offsets), "_b")
-            .select(F.col(col), (F.col("_o") + F.col("_r")).cast("long").alias(out_col)))
+            .withColumn(out_col, (F.col("_o") + F.col("_r")).cast("long")).drop("_b", "_r", "_o"))
+
+
+def dense_ids(df: DataFrame, col: str, out_col: str = "id", buckets: int | None = None) -> DataFrame:
+    """Dense 0-based ids for the distinct values of ``col``, in the order of their hash (see ``hash_rank``)."""
+    vals = df.select(col).distinct().withColumn("_h", hash32(F.col(col).cast("string")))
+    return hash_rank(vals, "_h", [col], out_col, buckets).select(col, out_col)
+
+
+def range_rank(df: DataFrame, order_cols: Sequence[str], out_col: str) -> DataFrame:
+    """0-based rank of every row in the order of ``order_cols`` (unique together).
+
+    Rows are range-sorted once (checkpointed, so that both uses below see the
+    same partitions); each partition is numbered by itself and offset by the
+    sizes of the partitions before it, at most one row a partition, broadcast.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cut_lineage(df.repartitionByRange(n, *order_cols).withColumn("_p", F.spark_partition_id()))
+    ranked = dealt.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order_cols)) - 1)
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (dealt.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o")))
+    return (ranked.join(F.broadcast(offsets), "_p")
+            .withColumn(out_col, (F.col("_o") + F.col("_r")).cast("long")).drop("_p", "_r", "_o"))

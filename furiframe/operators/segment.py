@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from furiframe.functions.text import (
     ANNOTATION_BUDGET,
     FALLBACK_ID_PREFIX,
-    SEGMENT_MAX_CHARS,
     SENTENCE_DELIMITER,
     py_strip,
     slice_key,
@@ -40,23 +39,24 @@ def sentence_pieces(text, delimiter: str = SENTENCE_DELIMITER) -> Column:
 
 def segment_sentences(corpus: DataFrame, id_col: str = "id", text_col: str = "text",
                       delimiter: str = SENTENCE_DELIMITER,
-                      max_chars: int = SEGMENT_MAX_CHARS, suffix: str | None = None) -> DataFrame:
-    """Document -> bounded sentences ``(id, seq, text)``.
+                      max_chars: int | None = None, suffix: str | None = None) -> DataFrame:
+    """Document -> sentences ``(id, seq, text)``.
 
     Split on the literal delimiter, strip, drop empty pieces, append
-    ``suffix`` (default: the delimiter) and cut to ``max_chars`` code points
-    (so a long sentence loses its suffix and one already ending in it may
-    carry it twice). One narrow Generate: no shuffle, no window.
+    ``suffix`` (default: the delimiter) and, with ``max_chars``, cut to that
+    many code points (so a long sentence loses its suffix and one already
+    ending in it may carry it twice). One narrow Generate: no shuffle, no window.
     """
     suffix = delimiter if suffix is None else suffix
     exploded = corpus.select(
         F.col(id_col),
         F.posexplode(sentence_pieces(text_col, delimiter)).alias("seq", "_piece"),
     )
+    whole = F.concat(F.col("_piece"), F.lit(suffix))
     return exploded.select(
         F.col(id_col),
         F.col("seq").cast("long").alias("seq"),
-        F.left(F.concat(F.col("_piece"), F.lit(suffix)), F.lit(max_chars)).alias("text"),
+        (whole if max_chars is None else F.left(whole, F.lit(max_chars))).alias("text"),
     )
 
 
@@ -88,11 +88,12 @@ def segment_key(entry_id, seq, legacy_slice: bool = True) -> Column:
     return F.concat(base, F.lit("_"), (F.col(seq) if isinstance(seq, str) else seq).cast("string"))
 
 
+def _phrases(text, delimiter: str, min_chars: int) -> Column:
+    return F.filter(F.transform(split_literal(_text(text), delimiter), py_strip), lambda p: F.length(p) >= min_chars)
+
+
 def _budget_fold(text, delimiter: str, budget: int, min_chars: int):
-    phrases = F.filter(
-        F.transform(split_literal(_text(text), delimiter), py_strip),
-        lambda p: F.length(p) >= min_chars,
-    )
+    phrases = _phrases(text, delimiter, min_chars)
     zero = F.struct(F.lit(0).cast("long").alias("total"),
                     F.array().cast("array<bigint>").alias("cums"))
 
@@ -105,14 +106,16 @@ def _budget_fold(text, delimiter: str, budget: int, min_chars: int):
     return phrases, cums
 
 
-def budget_phrases(text, delimiter: str = SENTENCE_DELIMITER, budget: int = ANNOTATION_BUDGET,
+def budget_phrases(text, delimiter: str = SENTENCE_DELIMITER, budget: int | None = None,
                    min_chars: int = 2) -> Column:
-    """ARRAY of the phrases kept under the budget (see ``char_budget``)."""
+    """ARRAY of the phrases of at least ``min_chars``, all of them or those under the budget (see ``char_budget``)."""
+    if budget is None:
+        return _phrases(text, delimiter, min_chars)
     phrases, cums = _budget_fold(text, delimiter, budget, min_chars)
     return F.slice(phrases, 1, F.size(cums))
 
 
-def budget_text(text, delimiter: str = SENTENCE_DELIMITER, budget: int = ANNOTATION_BUDGET,
+def budget_text(text, delimiter: str = SENTENCE_DELIMITER, budget: int | None = None,
                 min_chars: int = 2) -> Column:
     """Kept phrases, each with the delimiter re-added, joined by one space."""
     kept = budget_phrases(text, delimiter, budget, min_chars)
@@ -148,16 +151,19 @@ def char_budget(corpus: DataFrame, id_col: str = "id", text_col: str = "text",
 
 
 def upsert_latest(df: DataFrame, key_cols: Sequence[str], order_col: str) -> DataFrame:
-    """Overwrite-by-key: for each key keep the row with the greatest ``order_col``.
-
-    ``max_by`` is a declarative aggregate, so each map task pre-aggregates to
-    one row per key before the shuffle: a key holding a third of all rows
-    costs one row per map task, not a third of the data in one task (which a
-    ``row_number`` window would do).
+    """Overwrite-by-key: for each key keep the row with the greatest ``order_col`` (ties: the greatest
+    other columns, in column order).
+
+    ``max`` of a struct is a declarative aggregate, so each map task
+    pre-aggregates to one row per key before the shuffle: a key holding a
+    third of all rows costs one row per map task, not a third of the data in
+    one task (which a ``row_number`` window would do). Its buffer is a struct,
+    so the plan is a sort aggregate.
     """
-    others = [c for c in df.columns if c not in key_cols]
-    best = F.max_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_best")
-    return df.groupBy(*key_cols).agg(best).select(*key_cols, *[F.col(f"_best.{c}").alias(c) for c in others])
+    others = [order_col, *[c for c in df.columns if c not in (*key_cols, order_col)]]
+    best = F.max(F.struct(*[F.col(c) for c in others])).alias("_best")
+    return df.groupBy(*key_cols).agg(best).select(
+        *[F.col(c) if c in key_cols else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
 def take_first(corpus: DataFrame, n: int, order_cols: Sequence[str]) -> DataFrame:

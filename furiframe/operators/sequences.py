@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furiframe.functions.arrays import attention_mask, mask_value, pad_truncate
-from furiframe.operators.joins import DEFAULT_BROADCAST_ROWS, dense_ids, lookup_join
+from furiframe.operators.joins import dense_ids, lookup_join, range_rank
 
 
 def build_vocab(pieces: DataFrame, piece_col: str = "piece", n_special: int = 3) -> DataFrame:
@@ -22,14 +22,12 @@ def encode_pieces(df: DataFrame, keys: Sequence[str], pieces_col: str, vocab: Da
                   out_col: str = "input_ids") -> DataFrame:
     """ARRAY<STRING> of pieces -> ARRAY<INT> of vocabulary ids (unknown pieces dropped).
 
-    Explode -> lookup join (checked broadcast / salted) -> ordered regroup per
-    row; the map-side partial aggregate already holds a row's pieces, so the
-    shuffle carries about one row per input row.
+    Explode -> lookup join (AQE broadcasts a small vocabulary) -> ordered
+    regroup per row.
     """
     keys = list(keys)
     ex = df.select(*keys, F.posexplode(pieces_col).alias("_pos", "piece"))
-    joined = lookup_join(ex, vocab.select("piece", "token_id"), ["piece"], "inner",
-                         max_rows=DEFAULT_BROADCAST_ROWS, salt_buckets=32, salt_cols=keys + ["_pos"])
+    joined = lookup_join(ex, vocab.select("piece", "token_id"), ["piece"], "inner")
     return (joined.groupBy(*keys)
             .agg(F.array_sort(F.collect_list(F.struct(F.col("_pos"), F.col("token_id")))).alias("_s"))
             .select(*keys, F.transform("_s", lambda x: x["token_id"]).alias(out_col)))
@@ -44,8 +42,7 @@ def decode_ids(df: DataFrame, keys: Sequence[str], ids_col: str, vocab: DataFram
     keys = list(keys)
     v = vocab.where(~F.col("special")) if skip_special else vocab
     ex = df.select(*keys, F.posexplode(ids_col).alias("_pos", "token_id"))
-    joined = lookup_join(ex, v.select("token_id", "piece"), ["token_id"], "inner",
-                         max_rows=DEFAULT_BROADCAST_ROWS, salt_buckets=32, salt_cols=keys + ["_pos"])
+    joined = lookup_join(ex, v.select("token_id", "piece"), ["token_id"], "inner")
     dec = (joined.groupBy(*keys)
            .agg(F.array_sort(F.collect_list(F.struct(F.col("_pos"), F.col("piece")))).alias("_s"))
            .select(*keys, F.array_join(F.transform("_s", lambda x: x["piece"]), sep).alias(out_col),
@@ -56,12 +53,21 @@ def decode_ids(df: DataFrame, keys: Sequence[str], ids_col: str, vocab: DataFram
                     F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("n_tokens")))
 
 
+def assign_batches(df: DataFrame, order_cols: Sequence[str], batch_size: int = 16,
+                   out_col: str = "batch_id") -> DataFrame:
+    """Batches of ``batch_size`` consecutive rows in the order of ``order_cols`` (unique together);
+    the last one may be smaller. Only the keys are ranked; the rows get their batch by a join on them."""
+    keys = list(order_cols)
+    ranks = range_rank(df.select(*keys), keys, "_rank")
+    return df.join(ranks, keys).withColumn(out_col, F.floor(F.col("_rank") / batch_size).cast("long")).drop("_rank")
+
+
 def collate_batches(df: DataFrame, batch_col: str, ids_col: str, pad: int,
                     mask_pad: bool = True) -> DataFrame:
     """Pad every sequence to the longest of its batch; mask pad labels.
 
     The per-batch maximum is a partial aggregate (one row per batch and map
-    task before the shuffle); it is joined back with the checked lookup join,
+    task before the shuffle); it is joined back with a plain lookup join,
     so a huge batch is split instead of landing in one task.
     """
     longest = df.groupBy(batch_col).agg(F.max(F.size(ids_col)).alias("_longest"))

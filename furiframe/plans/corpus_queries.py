@@ -29,7 +29,7 @@ def q_corpus_scan(spark, sf_dir):
 
 
 def q_segment_sentences(spark, sf_dir):
-    return seg.segment_sentences(corpus(spark, sf_dir), "doc_id", "text", DELIM)
+    return seg.segment_sentences(corpus(spark, sf_dir), "doc_id", "text", DELIM, max_chars=T.SEGMENT_MAX_CHARS)
 
 
 def q_segment_summary(spark, sf_dir):
@@ -96,8 +96,7 @@ def q_escape_text(spark, sf_dir):
 
 
 def q_charset_filter(spark, sf_dir):
-    """Analyzer input as the pipes see it: escaped, then only EUC-JP characters
-    (no SQL oracle: DuckDB has no EUC-JP codec; tested against Python)."""
+    """Analyzer input as the pipes see it: escaped, then only EUC-JP characters."""
     docs = corpus(spark, sf_dir)
     return docs.select("doc_id", T.charset_filter(T.escape_text("text"), "euc_jp").alias("analyzer_text"))
 
@@ -129,7 +128,7 @@ _PIECES = f"""
 
 ORACLES = {
     "corpus_scan": "SELECT CAST(doc_id AS VARCHAR) AS id, text, CAST(length(text) AS BIGINT) AS n_chars FROM documents",
-    "segment_sentences": S.segments(DELIM),
+    "segment_sentences": S.segments(DELIM, max_chars=100),
     "segment_summary": f"""
         WITH n AS (
           SELECT d.doc_id, count(p.s) AS n
@@ -161,6 +160,13 @@ ORACLES = {
     "sample_sorted": "SELECT CAST(doc_id AS VARCHAR) || '.png' AS name FROM documents ORDER BY name LIMIT 10",
     "common_keys": "SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels",
     "unmatched_keys": "SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels",
+    "charset_filter": f"""
+        WITH e AS (SELECT doc_id, regexp_replace(translate(text, chr(10) || chr(65374), ' ~'), '<br( /)?>', '<br>', 'g') AS t
+                   FROM documents),
+        ok AS MATERIALIZED (SELECT DISTINCT unnest(string_split({S.sql_lit(T.encodable('euc_jp'))}, '')) AS c),
+        used AS (SELECT DISTINCT unnest(string_split(t, '')) AS c FROM e),
+        bad AS (SELECT coalesce(string_agg(c, ''), '') AS drop_chars FROM used WHERE c NOT IN (SELECT c FROM ok))
+        SELECT doc_id, translate(t, drop_chars, '') AS analyzer_text FROM e, bad""",
     "stem_suffix": r"""
         SELECT page_id,
                regexp_replace(url, '(.)\.[^.]+$', '\1') AS stem,

@@ -3,7 +3,7 @@
 Stand-ins on the driver tables: every ``documents`` row has a page image
 (``cropped/<doc_id>.png``, size = text bytes; undecodable when the label says
 ``toxic = 1``); transcripts exist for labelled documents, their size is the
-bytes of the budgeted annotation text (0 when the budget keeps nothing).
+bytes of all phrases of the text (0 when there is none).
 """
 
 from __future__ import annotations
@@ -73,9 +73,9 @@ def _pairs_source(spark, sf_dir):
     return imgs, texts
 
 
-def q_pair_dataset(spark, sf_dir):
+def q_pair_dataset(spark, sf_dir, strip=True):
     imgs, texts = _pairs_source(spark, sf_dir)
-    return dataset.pair_dataset(imgs, texts, "stem")
+    return dataset.pair_dataset(imgs, texts, "stem", strip=strip)
 
 
 def q_pair_missing(spark, sf_dir):
@@ -92,8 +92,13 @@ def q_split_counts(spark, sf_dir):
     return q_split_train_test(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_split_exact(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return dataset.split_train_test(docs, "doc_id", exact=True)
+
+
 def q_build_conversation(spark, sf_dir):
-    pairs = q_pair_dataset(spark, sf_dir)
+    pairs = q_pair_dataset(spark, sf_dir, strip=False)
     conv = dataset.build_conversation(pairs)
     return conv.select("stem", dataset.messages_json(conv).alias("record"))
 
@@ -128,15 +133,15 @@ def q_pad_truncate(spark, sf_dir):
 
 def q_label_mask(spark, sf_dir):
     ids = _word_ids(spark, sf_dir)
-    padded = A.pad_truncate("ids", 128, 0)
+    padded = A.pad_truncate("ids", F.size("ids") + 2, 0)
     return ids.select("conv_id", "turn", A.mask_value(padded, 0).alias("labels"),
                       A.unmask(A.mask_value(padded, 0), 0).alias("restored"))
 
 
 def q_batch_collate(spark, sf_dir):
-    ids = _word_ids(spark, sf_dir)
-    out = sequences.collate_batches(ids, "conv_id", "ids", 0)
-    return out.select("conv_id", "turn", "input_ids", "attention_mask", "labels")
+    ids = sequences.assign_batches(_word_ids(spark, sf_dir), ["conv_id", "turn"], 16)
+    out = sequences.collate_batches(ids, "batch_id", "ids", 0)
+    return out.select("batch_id", "conv_id", "turn", "input_ids", "attention_mask", "labels")
 
 
 def q_drop_prompt(spark, sf_dir):
@@ -175,6 +180,7 @@ QUERIES = {
     "pair_missing": q_pair_missing,
     "split_train_test": q_split_train_test,
     "split_counts": q_split_counts,
+    "split_exact": q_split_exact,
     "build_conversation": q_build_conversation,
     "build_conversation_sys": q_build_conversation_sys,
     "chat_render": q_chat_render,
@@ -194,12 +200,7 @@ _PIECES = f"""
                unnest(string_split(coalesce(text, ''), '{DELIM}')) AS part,
                generate_subscripts(string_split(coalesce(text, ''), '{DELIM}'), 1) AS idx
         FROM documents)"""
-_BUDGET = f"""
-  SELECT doc_id, idx, s FROM (
-    SELECT doc_id, idx, s,
-           sum(length(s)) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
-    FROM ({_PIECES}) WHERE length(s) >= 2)
-  WHERE cum <= 2000"""
+_BUDGET = f"SELECT doc_id, idx, s FROM ({_PIECES}) WHERE length(s) >= 2"
 _TEXTS = f"""
   SELECT l.doc_id AS stem, coalesce(b.t, '') AS text, CAST(strlen(coalesce(b.t, '')) AS BIGINT) AS size
   FROM labels l
@@ -220,7 +221,12 @@ _PAIRS = f"""
   FROM documents d WHERE d.doc_id IN (SELECT doc_id FROM labels)"""
 
 
-def _conv_sql(system: str | None) -> str:
+_PAIRS_WHOLE = """
+  SELECT doc_id AS stem, 'cropped/' || CAST(doc_id AS VARCHAR) || '.png' AS image_path, text AS gt_answer
+  FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)"""
+
+
+def _conv_sql(system: str | None, pairs: str) -> str:
     user = (f"json_object('role', 'user', 'content', json_array("
             f"json_object('type', 'image', 'path', image_path), "
             f"json_object('type', 'text', 'text', {S.sql_lit(dataset.OCR_USER_PROMPT)})))")
@@ -229,7 +235,7 @@ def _conv_sql(system: str | None) -> str:
     if system is not None:
         msgs.insert(0, f"json_object('role', 'system', 'content', json_array("
                        f"json_object('type', 'text', 'text', {S.sql_lit(system)})))")
-    return f"SELECT stem, CAST(json_object('messages', json_array({', '.join(msgs)})) AS VARCHAR) AS record FROM ({_PAIRS})"
+    return f"SELECT stem, CAST(json_object('messages', json_array({', '.join(msgs)})) AS VARCHAR) AS record FROM ({pairs})"
 
 
 _WORD_IDS = """
@@ -248,11 +254,8 @@ def _mask(ids: str, n: str) -> str:
 
 _VOCAB = """
   WITH v AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS piece FROM benchmark),
-  b AS (SELECT piece, (('0x' || substr(md5(piece), 1, 8))::BIGINT) % 64 AS bk FROM v),
-  r AS (SELECT piece, bk, row_number() OVER (PARTITION BY bk ORDER BY piece) - 1 AS rk FROM b),
-  o AS (SELECT bk, coalesce(sum(n) OVER (ORDER BY bk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
-        FROM (SELECT bk, count(*) AS n FROM b GROUP BY bk))
-  SELECT piece, CAST(off + rk AS INTEGER) AS token_id, (off + rk) < 3 AS special FROM r JOIN o USING (bk)"""
+  r AS (SELECT piece, row_number() OVER (ORDER BY ('0x' || substr(md5(piece), 1, 8))::BIGINT, piece) - 1 AS rk FROM v)
+  SELECT piece, CAST(rk AS INTEGER) AS token_id, rk < 3 AS special FROM r"""
 
 ORACLES = {
     "clean_empty": f"SELECT stem, size FROM ({_KEPT})",
@@ -283,12 +286,16 @@ ORACLES = {
         SELECT doc_id, CASE WHEN (('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT) % 10000 < 1000
                             THEN 'test' ELSE 'train' END AS split
         FROM documents""",
+    "split_exact": """
+        SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY ('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT,
+                                                    doc_id) <= ceil(count(*) OVER () * 0.1) THEN 'test' ELSE 'train' END AS split
+        FROM documents""",
     "split_counts": """
         SELECT split, count(*) AS n FROM (
           SELECT CASE WHEN (('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT) % 10000 < 1000
                       THEN 'test' ELSE 'train' END AS split FROM documents) GROUP BY split""",
-    "build_conversation": _conv_sql(None),
-    "build_conversation_sys": _conv_sql(dataset.OCR_SYSTEM_MESSAGE),
+    "build_conversation": _conv_sql(None, _PAIRS_WHOLE),
+    "build_conversation_sys": _conv_sql(dataset.OCR_SYSTEM_MESSAGE, _PAIRS),
     "chat_render": """
         SELECT conv_id, count(*) AS n_turns,
                string_agg('<start_of_turn>' || role || chr(10) || text || '<end_of_turn>' || chr(10), '' ORDER BY turn)
@@ -303,14 +310,15 @@ ORACLES = {
                {_pad('ids', '128')} AS labels
         FROM ({_WORD_IDS})""",
     "label_mask": f"""
-        SELECT conv_id, turn, list_transform({_pad('ids', '128')}, lambda x: CASE WHEN x = 0 THEN -100 ELSE x END) AS labels,
-               list_transform(list_transform({_pad('ids', '128')}, lambda x: CASE WHEN x = 0 THEN -100 ELSE x END),
-                              lambda x: CASE WHEN x = -100 THEN 0 ELSE x END) AS restored
+        SELECT conv_id, turn, list_transform(list_concat(ids, [0, 0]), lambda x: CASE WHEN x = 0 THEN -100 ELSE x END) AS labels,
+               list_concat(ids, [0, 0]) AS restored
         FROM ({_WORD_IDS})""",
     "batch_collate": f"""
-        SELECT conv_id, turn, {_pad('ids', 'm')} AS input_ids, {_mask('ids', 'm')} AS attention_mask,
+        SELECT batch_id, conv_id, turn, {_pad('ids', 'm')} AS input_ids, {_mask('ids', 'm')} AS attention_mask,
                list_transform({_pad('ids', 'm')}, lambda x: CASE WHEN x = 0 THEN -100 ELSE x END) AS labels
-        FROM (SELECT *, max(len(ids)) OVER (PARTITION BY conv_id) AS m FROM ({_WORD_IDS}))""",
+        FROM (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS m
+              FROM (SELECT *, CAST((row_number() OVER (ORDER BY conv_id, turn) - 1) // 16 AS BIGINT) AS batch_id
+                    FROM ({_WORD_IDS})))""",
     "drop_prompt": f"""
         SELECT u.conv_id, u.turn, list_slice(list_concat(u.ids, a.ids), len(u.ids) + 1, len(u.ids) + len(a.ids)) AS generated
         FROM ({_WORD_IDS}) u JOIN ({_WORD_IDS}) a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1

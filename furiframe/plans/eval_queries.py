@@ -1,7 +1,6 @@
 """Registered queries: recognition scoring over segments of ``documents``.
 
-Truth = the segments of every document (each at most 100 code points, so
-the O(n*m) edit distance per pair is bounded). Recognised transcripts are
+Truth = the whole sentences of every document. Recognised transcripts are
 derived deterministically from the truth, standing in for model output:
 a vowel rotation, a two-character cut, or an exact copy.
 """
@@ -56,16 +55,21 @@ def recognized_runs(truth: DataFrame) -> DataFrame:
 
 
 def q_eval_cer(spark, sf_dir):
+    truth = truth_segments(spark, sf_dir)
+    return ev.score_pairs(truth, recognized_single(truth), KEYS).orderBy(*KEYS)
+
+
+def _scores(spark, sf_dir):
     truth = truth_segments(spark, sf_dir)
     return ev.score_pairs(truth, recognized_single(truth), KEYS)
 
 
 def q_eval_summary(spark, sf_dir):
-    return ev.eval_summary(q_eval_cer(spark, sf_dir)).select("n_files", "cer_macro", "accuracy")
+    return ev.eval_summary(_scores(spark, sf_dir)).select("n_files", "cer_macro", "accuracy")
 
 
 def q_eval_micro(spark, sf_dir):
-    s = q_eval_cer(spark, sf_dir)
+    s = _scores(spark, sf_dir)
     return s.agg(F.sum("edits").alias("edits"), F.sum("ref_len").alias("ref_len"),
                  F.round(F.sum("edits") / F.sum("ref_len"), 6).alias("cer_micro"))
 
@@ -77,7 +81,7 @@ def q_eval_by_run(spark, sf_dir):
 
 
 def q_eval_report(spark, sf_dir):
-    s = q_eval_cer(spark, sf_dir).withColumn(
+    s = _scores(spark, sf_dir).withColumn(
         "name", F.concat_ws("_", F.col("doc_id").cast("string"), F.col("seq").cast("string")))
     s = s.withColumn("name", F.concat("name", F.lit(".md")))
     return ev.eval_report(s, "name")
@@ -137,11 +141,17 @@ ORACLES = {
                round(CAST(sum(edits) AS DOUBLE) / CAST(sum(ref_len) AS DOUBLE), 6) AS cer_micro
         FROM ({_SCORES_RUNS}) GROUP BY model, temperature""",
     "eval_report": f"""
-        SELECT name, rpad(name, CAST(greatest(30, length(name)) AS INTEGER), ' ') || ' | ' ||
-                     lpad(pct, CAST(greatest(20, length(pct)) AS INTEGER), ' ') AS line
-        FROM (SELECT CAST(doc_id AS VARCHAR) || '_' || CAST(seq AS VARCHAR) || '.md' AS name,
-                     printf('%.2f%%', round_even(cer * 100.0, 2)) AS pct
-              FROM ({_SCORES}))""",
+        WITH s AS ({_SCORES}), m AS (SELECT avg(cer) AS m FROM s),
+        parts AS (
+          SELECT 0 AS section, NULL AS name, 'Filename' AS a, 'Character Error Rate (CER)' AS b
+          UNION ALL SELECT 1, CAST(doc_id AS VARCHAR) || '_' || CAST(seq AS VARCHAR) || '.md',
+                           CAST(doc_id AS VARCHAR) || '_' || CAST(seq AS VARCHAR) || '.md',
+                           printf('%.2f%%', round_even(cer * 100.0, 2)) FROM s
+          UNION ALL SELECT 2, NULL, 'Average CER:', printf('%.2f%%', round_even(m * 100.0, 2)) FROM m
+          UNION ALL SELECT 3, NULL, 'Overall Accuracy:', printf('%.2f%%', round_even((1 - m) * 100.0, 2)) FROM m)
+        SELECT section, name, rpad(a, CAST(greatest(30, length(a)) AS INTEGER), ' ') || ' | ' ||
+                              lpad(b, CAST(greatest(20, length(b)) AS INTEGER), ' ') AS line
+        FROM parts""",
     "run_slug": f"""
         SELECT model, temperature, replace(model, ':', '_') || '_t' || CAST(temperature AS VARCHAR) AS run_dir,
                count(*) AS n_files

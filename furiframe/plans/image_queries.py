@@ -2,7 +2,8 @@
 
 Stand-in for rendered pages (no renderer runs here): every document becomes
 a 3-channel bitmap with one pixel per character -- white for a space, black
-for an ASCII letter, gray otherwise -- one pixel row per text line, a white
+for a lower-case letter, a colour for a capital, and values next to the ink
+threshold for the rest -- one pixel row per text line, a white
 frame (3 px left, 2 rows top and bottom) and a white 20 px strip on the
 right where a scroll bar would be. The pixels are built with Column
 functions (``unhex`` of a hex string), so the image operators run on
@@ -19,7 +20,10 @@ from furiframe.plans import sqltext as S
 from furiframe.plans.tables import table
 
 LEFT, TOP, BOTTOM = 3, 2, 2
-WHITE, BLACK, GRAY = "FFFFFF", "000000", "A0A0A0"
+# Pixels in the byte order of the image source (blue, green, red). A comma is four levels of blue short of
+# white, which the gray scale rounds back to white; a full stop is four levels of red short and everything
+# else one level of green, which are ink. Swapped channels would change boxes and hashes.
+WHITE, BLACK, CAPITAL, COMMA, STOP, OTHER = "FFFFFF", "000000", "0A64C8", "FBFFFF", "FFFFFB", "FFFEFF"
 MODEL = "ocr:l"
 
 
@@ -28,8 +32,9 @@ def page_images(spark, sf_dir):
     width = F.array_max(F.transform("lines", lambda ln: F.length(ln))) + LEFT + I.SCROLLBAR_PX
 
     def pixel(c):
-        letter = ((c >= "a") & (c <= "z")) | ((c >= "A") & (c <= "Z"))
-        return F.when(c == " ", F.lit(WHITE)).when(letter, F.lit(BLACK)).otherwise(F.lit(GRAY))
+        return (F.when(c == " ", F.lit(WHITE)).when((c >= "a") & (c <= "z"), F.lit(BLACK))
+                .when((c >= "A") & (c <= "Z"), F.lit(CAPITAL)).when(c == ",", F.lit(COMMA))
+                .when(c == ".", F.lit(STOP)).otherwise(F.lit(OTHER)))
 
     def row(ln, w):
         body = F.array_join(F.transform(F.regexp_extract_all(ln, F.lit("(?s)."), F.lit(0)), pixel), "")
@@ -62,7 +67,8 @@ def q_image_crop(spark, sf_dir):
     crops = I.crop_images(page_images(spark, sf_dir))
     return crops.select(_doc_id(), (F.col("right") - F.col("left")).alias("crop_width"),
                         (F.col("lower") - F.col("upper")).alias("crop_height"),
-                        (F.substr(F.hex("png"), F.lit(1), F.lit(16)) == F.lit("89504E470D0A1A0A")).alias("is_png"))
+                        (F.substr(F.hex("png"), F.lit(1), F.lit(16)) == F.lit("89504E470D0A1A0A")).alias("is_png"),
+                        F.md5("rgb").alias("rgb_md5"))
 
 
 def q_image_summary(spark, sf_dir):
@@ -71,7 +77,7 @@ def q_image_summary(spark, sf_dir):
 
 def q_image_rgb(spark, sf_dir):
     rgb = I.rgb_images(page_images(spark, sf_dir))
-    return rgb.select(_doc_id(), F.octet_length("rgb").cast("long").alias("n_bytes"))
+    return rgb.select(_doc_id(), F.octet_length("rgb").cast("long").alias("n_bytes"), F.md5("rgb").alias("rgb_md5"), "error")
 
 
 def q_base64_text(spark, sf_dir):
@@ -103,10 +109,10 @@ _BOX = f"""
   SELECT d.doc_id,
          CAST(max(length(line)) + {LEFT} AS INTEGER) AS width,
          CAST(count(*) + {TOP + BOTTOM} AS INTEGER) AS height,
-         min(CASE WHEN length(rtrim(line, ' ')) > 0 THEN length(line) - length(ltrim(line, ' ')) END) + {LEFT} AS l0,
-         max(CASE WHEN length(rtrim(line, ' ')) > 0 THEN length(rtrim(line, ' ')) END) + {LEFT} AS r0,
-         min(CASE WHEN length(rtrim(line, ' ')) > 0 THEN i END) + {TOP} AS u0,
-         max(CASE WHEN length(rtrim(line, ' ')) > 0 THEN i END) + {TOP} + 1 AS d0
+         min(CASE WHEN length(rtrim(line, ' ,')) > 0 THEN length(line) - length(ltrim(line, ' ,')) END) + {LEFT} AS l0,
+         max(CASE WHEN length(rtrim(line, ' ,')) > 0 THEN length(rtrim(line, ' ,')) END) + {LEFT} AS r0,
+         min(CASE WHEN length(rtrim(line, ' ,')) > 0 THEN i END) + {TOP} AS u0,
+         max(CASE WHEN length(rtrim(line, ' ,')) > 0 THEN i END) + {TOP} + 1 AS d0
   FROM ({_LINES}) d GROUP BY d.doc_id"""
 _CLAMPED = f"""
   SELECT doc_id, width, height,
@@ -116,6 +122,21 @@ _CLAMPED = f"""
   FROM ({_BOX})"""
 
 
+# The pixels as hex rows in RGB order, white frame rows included, cut columns already off.
+_GRID = f"""
+  SELECT l.doc_id, i + {TOP} AS y,
+         repeat('{WHITE}', {LEFT}) || array_to_string(list_transform(string_split(line, ''), lambda c: CASE
+           WHEN c = '' THEN '' WHEN c = ' ' THEN 'FFFFFF' WHEN c BETWEEN 'a' AND 'z' THEN '000000'
+           WHEN c BETWEEN 'A' AND 'Z' THEN 'C8640A' WHEN c = ',' THEN 'FFFFFB' WHEN c = '.' THEN 'FBFFFF' ELSE 'FFFEFF' END), '')
+           || repeat('FFFFFF', b.width - {LEFT} - length(line)) AS px
+  FROM ({_LINES}) l JOIN ({_BOX}) b ON b.doc_id = l.doc_id
+  UNION ALL
+  SELECT doc_id, unnest([0, 1, height - 2, height - 1]) AS y, repeat('FFFFFF', width) AS px FROM ({_BOX})"""
+_CROP_PIXELS = f"""
+  SELECT c.doc_id, md5(unhex(string_agg(substr(px, "left" * 6 + 1, ("right" - "left") * 6), '' ORDER BY y))) AS rgb_md5
+  FROM ({_CLAMPED}) c JOIN ({_GRID}) g ON g.doc_id = c.doc_id AND y >= upper AND y < lower GROUP BY c.doc_id"""
+
+
 def _request_sql() -> str:
     prompt = S.sql_lit(OCR_USER_PROMPT + "\n")
     return f"""
@@ -131,9 +152,13 @@ def _request_sql() -> str:
 
 ORACLES = {
     "image_bbox": f"SELECT doc_id, width, height, \"left\", upper, \"right\", lower, status FROM ({_CLAMPED})",
-    "image_crop": f"""SELECT doc_id, "right" - "left" AS crop_width, lower - upper AS crop_height, true AS is_png
-                      FROM ({_CLAMPED})""",
-    "image_rgb": "SELECT doc_id, CAST((width + 20) * height * 3 AS BIGINT) AS n_bytes FROM (" + _BOX + ")",
+    "image_crop": f"""SELECT c.doc_id, "right" - "left" AS crop_width, lower - upper AS crop_height,
+                             CASE WHEN status = 'cropped' THEN true END AS is_png, rgb_md5
+                      FROM ({_CLAMPED}) c LEFT JOIN ({_CROP_PIXELS}) p ON p.doc_id = c.doc_id""",
+    "image_rgb": f"""
+        SELECT b.doc_id, CAST((width + 20) * height * 3 AS BIGINT) AS n_bytes,
+               md5(unhex(string_agg(px || repeat('FFFFFF', 20), '' ORDER BY y))) AS rgb_md5, CAST(NULL AS VARCHAR) AS error
+        FROM ({_BOX}) b JOIN ({_GRID}) g ON g.doc_id = b.doc_id GROUP BY b.doc_id, width, height""",
     "base64_text": "SELECT doc_id, to_base64(encode(text)) AS b64 FROM documents",
     "image_summary": f"""
         SELECT count(*) AS processed, count(*) FILTER (WHERE status = 'cropped') AS cropped,

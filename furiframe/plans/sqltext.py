@@ -6,23 +6,25 @@ every registered query has a second, engine-independent formulation.
 
 from __future__ import annotations
 
-from furiframe.functions.text import PY_STRIP_PATTERN
+# White space of Python's str.strip(), spelt out by code point (not taken from the code under test).
+_SPACES = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '{PY_STRIP_PATTERN}', '', 'g')"
+    return f"trim({x}, {' || '.join(f'chr({c})' for c in _SPACES)})"
 
 
 def normalize(x: str) -> str:
     return f"replace({strip(x)}, chr(13) || chr(10), chr(10))"
 
 
-def segments(delim: str = ".", table: str = "documents", max_chars: int = 100) -> str:
-    """Split, strip, drop empty, re-index, re-append delimiter, cut."""
+def segments(delim: str = ".", table: str = "documents", max_chars: int | None = None) -> str:
+    """Split, strip, drop empty, re-index, re-append delimiter, cut (if asked to)."""
+    whole = f"s || '{delim}'" if max_chars is None else f"left(s || '{delim}', {max_chars})"
     return f"""
     SELECT doc_id,
            CAST(row_number() OVER (PARTITION BY doc_id ORDER BY idx) - 1 AS BIGINT) AS seq,
-           left(s || '{delim}', {max_chars}) AS text
+           {whole} AS text
     FROM (
       SELECT doc_id, idx, {strip('part')} AS s
       FROM (

@@ -11,35 +11,23 @@ TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-DEFAULT_SF_DIR = "/root/testdata/sf0.01"
+SPREAD_CONF = "spark.furiframe.spreadScans"
 
 # Tables whose rows carry heavy per-row work (text, arrays), with their key.
 _SPREAD = {"documents": ("doc_id",), "pages": ("page_id",), "conversations": ("conv_id", "turn"),
            "embeddings": ("vec_id",)}
 
 
-def balanced(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan of one table; column pruning and filters reach the scan.
 
-    Text work is CPU-heavy per byte, and a small or single-row-group file is
-    one task. When the scan already has at least ``defaultParallelism``
-    partitions (any large input) nothing changes; otherwise the rows are
-    hash-partitioned on ``keys`` (unique, so no hot partition) over twice the
-    parallelism. Column pruning and filters still reach the scan below the
-    exchange.
+    A session that sets ``spark.furiframe.spreadScans`` to a number of partitions
+    has the rows of heavy tables dealt to that many by their unique key: for
+    inputs of one small file, which are one task otherwise. Unset (as on a
+    cluster, where files are many), there is no exchange.
     """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
-        return df
-    return df.repartition(target * 2, *keys) if keys else df.repartition(target * 2)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one table; column pruning and filters reach the scan."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if name in _SPREAD:
-        df = balanced(df, _SPREAD[name])
+    spread = spark.conf.get(SPREAD_CONF, None)
+    if spread and name in _SPREAD:
+        df = df.repartition(int(spread), *_SPREAD[name])
     return df

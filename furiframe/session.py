@@ -8,15 +8,16 @@ session (and ``spark.checkpoint.dir``) comes from the platform.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Settings we run the package with on a large cluster (~100 TB of text).
-# Text work is CPU-heavy per byte, so partitions are kept moderate; AQE
-# coalesces small shuffle partitions and splits skewed ones; Arrow batches
-# stay small because image rows are large.
+# Settings to start a large cluster's session with (~100 TB of text). Text work
+# is CPU-heavy per byte, so partitions are kept moderate; AQE coalesces small
+# shuffle partitions and splits skewed ones; Arrow batches stay small because
+# image rows are large.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -31,14 +32,6 @@ CLUSTER_CONF = {
 }
 
 
-def cluster_builder(builder: SparkSession.Builder) -> SparkSession.Builder:
-    """Apply ``CLUSTER_CONF`` to a session builder (the cluster supplies master,
-    executors and ``spark.checkpoint.dir``)."""
-    for k, v in CLUSTER_CONF.items():
-        builder = builder.config(k, v)
-    return builder
-
-
 def local_session(cpus: int | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "furiframe") -> SparkSession:
     """A local session tuned for small test data (UI off, AQE on, UTC)."""
@@ -49,6 +42,7 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
+        .config("spark.furiframe.spreadScans", str(2 * cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -63,20 +57,20 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a scratch one only if unset.
+    """The shared checkpoint folder that ``spark.checkpoint.dir`` names.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (DFS/object store)
-    folder and is used as is. Only when nothing is configured (local tests)
-    a fresh scratch folder is made.
+    Where nothing is set, a single-process session (tests) gets a scratch
+    folder; a cluster session raises, as its executors share no local disk.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="furiframe-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="furiframe-ckpt-")
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

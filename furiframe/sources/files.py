@@ -13,9 +13,29 @@ from furiframe.functions.text import file_name, stem
 from furiframe.operators.dataset import MESSAGES
 
 
-def _require(path: str) -> None:
+def _require(spark: SparkSession, path: str) -> None:
+    """The folder or file must be named and there (a metadata call to its own file system)."""
     if not path:
         raise ValueError("a source path is required")
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem API
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):  # noqa: SLF001
+        raise FileNotFoundError(f"no such source: {path}")
+
+
+def require_match(df: DataFrame, what: str) -> DataFrame:
+    """``df`` itself, or an error if not a single file matched (reads one row)."""
+    if df.limit(1).count() == 0:
+        raise FileNotFoundError(f"no matching {what}")
+    return df
+
+
+def require_columns(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` itself, or an error that lists the missing columns."""
+    missing = [n for n in names if n not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    return df
 
 
 def wholetext_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -24,7 +44,7 @@ def wholetext_files(spark: SparkSession, path: str, glob: str | None = None) ->
     ``wholetext`` must be passed to ``text()`` itself: an ``option`` is
     overridden by the method's default.
     """
-    _require(path)
+    _require(spark, path)
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -35,7 +55,7 @@ def wholetext_files(spark: SparkSession, path: str, glob: str | None = None) ->
 
 def binary_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``name, stem, size, content`` for every (non-empty) file."""
-    _require(path)
+    _require(spark, path)
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -48,7 +68,7 @@ def image_files(spark: SparkSession, path: str, glob: str | None = "*.png",
                 drop_invalid: bool = False) -> DataFrame:
     """Decoded images (``image`` struct, BGR(A) bytes) with ``name`` and ``stem``.
     Undecodable files stay as rows with ``image.height = -1`` unless dropped."""
-    _require(path)
+    _require(spark, path)
     reader = spark.read.format("image").option("dropInvalid", drop_invalid)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -64,7 +84,7 @@ def file_manifest(spark: SparkSession, path: str, kind: str, glob: str | None =
     listing is taken from the file system through Spark's Hadoop layer
     (``listStatus``), which is a metadata call, not a data read.
     """
-    _require(path)
+    _require(spark, path)
     sc = spark.sparkContext
     jvm = sc._jvm  # noqa: SLF001 - Hadoop FileSystem API for a plain directory listing
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -83,5 +103,5 @@ def file_manifest(spark: SparkSession, path: str, kind: str, glob: str | None =
 
 def read_messages_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """JSON Lines with a ``messages`` field (explicit schema, no inference)."""
-    _require(path)
+    _require(spark, path)
     return spark.read.schema(f"messages {MESSAGES}").json(path)

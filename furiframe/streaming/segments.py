@@ -2,37 +2,35 @@
 
 The corpus arrives as Parquet files in a folder; each micro-batch is
 segmented with the same narrow operator as the batch path (no state, no
-watermark needed) and appended to a Parquet table. Progress lives in a
-checkpoint under the shared ``spark.checkpoint.dir``, so a restarted or
-retried query resumes without duplicates.
+watermark needed) and appended to a Parquet table. Progress lives in the
+checkpoint folder that the caller names (one of its own for each stream, on
+shared storage), so a restarted or retried query resumes without duplicates.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from furiframe.functions.text import SEGMENT_MAX_CHARS, SENTENCE_DELIMITER
+from furiframe.functions.text import SENTENCE_DELIMITER
 from furiframe.operators.segment import segment_sentences
-from furiframe.session import ensure_checkpoint_dir
 
 
 def stream_segments(spark: SparkSession, source_dir: str, schema: StructType | str, sink_dir: str,
-                    id_col: str = "id", text_col: str = "text", delimiter: str = SENTENCE_DELIMITER,
-                    max_chars: int = SEGMENT_MAX_CHARS, checkpoint: str | None = None,
+                    checkpoint: str, id_col: str = "id", text_col: str = "text",
+                    delimiter: str = SENTENCE_DELIMITER, max_chars: int | None = None,
                     max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
-    """Start the streaming segmentation; ``max_files_per_trigger`` is the
-    streaming form of taking the first N records of a lazy source."""
+    """Start the streaming segmentation; ``max_files_per_trigger`` bounds a micro-batch (all files are
+    read in the end)."""
+    if not checkpoint:
+        raise ValueError("a stream needs a checkpoint folder of its own")
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.parquet(source_dir)
     seg = segment_sentences(src, id_col, text_col, delimiter, max_chars)
-    ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "stream_segments")
-    w = seg.writeStream.format("parquet").option("path", sink_dir).option("checkpointLocation", ckpt)
+    w = seg.writeStream.format("parquet").option("path", sink_dir).option("checkpointLocation", checkpoint)
     w = w.outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

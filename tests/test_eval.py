@@ -56,7 +56,15 @@ def test_cer_can_exceed_one(spark):
 
 
 def test_report_line_and_percent(spark, scores):
-    lines = {r["name"]: r["line"] for r in ev.eval_report(scores).collect()}
+    report = ev.eval_report(scores).collect()
+    assert [(r["section"], r["name"]) for r in report] == [
+        (0, None), (1, "sample1.md"), (1, "sample2.md"), (1, "sample3.md"), (2, None), (3, None)]
+    assert report[0]["line"] == f"{'Filename':<30} | {'Character Error Rate (CER)':>20}"
+    mean = (0.05 + 6 / 26) / 3
+    assert report[4]["line"] == f"{'Average CER:':<30} | {f'{mean:.2%}':>20}"
+    assert report[5]["line"] == f"{'Overall Accuracy:':<30} | {f'{1 - mean:.2%}':>20}"
+    assert [r["section"] for r in ev.eval_report(scores.limit(0)).collect()] == [0]
+    lines = {r["name"]: r["line"] for r in report}
     assert lines["sample2.md"] == f"{'sample2.md':<30} | {f'{0.05:.2%}':>20}"
     assert lines["sample3.md"] == f"{'sample3.md':<30} | {f'{6 / 26:.2%}':>20}"
     vals = [0.00125, 0.5, 1.25, 0.123456]

@@ -7,10 +7,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from furiframe.functions.png import decode_png, encode_png
+from furiframe.functions.png import encode_png
 from furiframe.operators import image as I
 from furiframe.sources import files
 
+from .pngread import decode_png
+
 
 def _box(h, w, c, x0, x1, y0, y1, ink=0, fill=255):
     a = np.full((h, w, c), fill, np.uint8)
@@ -89,6 +91,14 @@ def test_invalid_and_rgb(spark, image_dir):
     assert g[1, 2].tolist() == [200, 200, 200] and g[0, 0].tolist() == [255, 255, 255]
 
 
+def test_a_short_buffer_is_a_row_with_an_error(spark):
+    df = spark.createDataFrame([("a", 2, 2, 3, bytearray(5)), ("b", 1, 1, 3, bytearray([1, 2, 3])), ("c", None, None, None, None)],
+                               "origin string, height int, width int, nChannels int, data binary")
+    got = {r["origin"]: r for r in I.rgb_images(df).collect()}
+    assert got["a"]["rgb"] is None and got["a"]["error"] and got["c"]["error"] and got["c"]["height"] is None
+    assert bytes(got["b"]["rgb"]) == bytes([3, 2, 1]) and got["b"]["error"] is None
+
+
 def test_manifest_keeps_zero_byte_files(spark, image_dir):
     m = {r["name"]: r["size"] for r in files.file_manifest(spark, image_dir, "image", "*.png").collect()}
     assert m["empty.png"] == 0 and "note.txt" not in m and len(m) == 10

@@ -1,9 +1,9 @@
-"""Lookup joins (broadcast, salted, plain), dense ids, vocabulary encode/decode, collation."""
+"""Lookup joins (plain, salted), ranks, dense ids, vocabulary encode/decode, batches and collation."""
 
 from pyspark.sql import functions as F
 
 from furiframe.operators import sequences
-from furiframe.operators.joins import dense_ids, fits_broadcast, lookup_join
+from furiframe.operators.joins import dense_ids, hash_rank, lookup_join, range_rank
 
 
 def _big(spark):
@@ -19,10 +19,23 @@ def _lex(spark):
 def test_lookup_join_paths_agree(spark):
     big, lex = _big(spark), _lex(spark)
     expect = sorted(big.join(lex, "word", "left").select(*big.columns, "r").collect())
-    for kw in ({"max_rows": 100}, {"salt_buckets": 8}, {}):
+    for kw in ({"salt_buckets": 8}, {}):
         got = sorted(lookup_join(big, lex, ["word"], "left", **kw).select(*big.columns, "r").collect())
         assert got == expect, kw
-    assert fits_broadcast(lex, 8) and not fits_broadcast(lex, 7)
+
+
+def test_ranks_do_not_depend_on_parts(spark):
+    df = spark.range(300).select("id", F.pmod(F.xxhash64("id"), F.lit(2**32)).alias("h")).repartition(7)
+    want = {r["id"]: i for i, r in enumerate(df.orderBy("h", "id").collect())}
+    for n in (1, 3, 64):
+        assert {r["id"]: r["k"] for r in hash_rank(df, "h", ["id"], "k", n).collect()} == want
+    assert {r["id"]: r["k"] for r in range_rank(df, ["h", "id"], "k").collect()} == want
+
+
+def test_batches_of_consecutive_rows(spark):
+    df = spark.createDataFrame([(c, t) for c in range(5) for t in range(9)], "c long, t long").repartition(4)
+    got = sequences.assign_batches(df, ["c", "t"], 16).orderBy("c", "t").collect()
+    assert [r["batch_id"] for r in got] == [i // 16 for i in range(45)]
 
 
 def test_dense_ids_are_dense_and_unique(spark):

@@ -70,6 +70,15 @@ def test_run_partitioned_output(spark):
     assert spark.read.parquet(out + "_tbl").count() == 2
 
 
-def test_missing_path_is_an_error(spark):
+def test_source_guards(spark, folders):
     with pytest.raises(ValueError):
         files.wholetext_files(spark, "")
+    for read in (files.wholetext_files, files.binary_files, files.image_files, files.read_messages_jsonl):
+        with pytest.raises(FileNotFoundError, match="no such source"):
+            read(spark, "/tmp/no-such-folder-here")
+    with pytest.raises(FileNotFoundError, match="no matching markdown"):
+        files.require_match(files.wholetext_files(spark, folders[0], "*.markdown"), "markdown files")
+    df = files.require_match(files.wholetext_files(spark, folders[0], "*.md"), "markdown files")
+    assert files.require_columns(df, "name", "text") is df
+    with pytest.raises(ValueError, match="missing columns: size"):
+        files.require_columns(df, "name", "size")

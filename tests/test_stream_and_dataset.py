@@ -58,6 +58,31 @@ def test_pair_strict_fails_on_missing(spark):
         dataset.pair_dataset(imgs, texts, on_missing="error").collect()
 
 
+def test_two_turn_pairs_keep_their_blanks(spark):
+    imgs = spark.createDataFrame([("a", "a.png")], "stem string, path string")
+    texts = spark.createDataFrame([("a", " x\n")], "stem string, text string")
+    assert dataset.pair_dataset(imgs, texts, strip=False).first().gt_answer == " x\n"
+
+
+def test_exact_split(spark):
+    docs = spark.range(101).select(F.col("id").alias("k")).repartition(5)
+    out = dataset.split_train_test(docs, "k", exact=True)
+    assert out.where(F.col("split") == "test").count() == 11 and out.count() == 101
+    assert out.exceptAll(dataset.split_train_test(docs.repartition(3), "k", exact=True)).count() == 0
+
+
+def test_stream_needs_a_checkpoint(spark):
+    with pytest.raises(ValueError):
+        stream_segments(spark, "/nowhere", "id string, text string", "/nowhere", checkpoint="")
+
+
+def test_upsert_ties_have_a_winner(spark):
+    rows = [("k", 1, "a"), ("k", 1, "c"), ("k", 1, "b")]
+    for some in (rows, rows[::-1]):
+        df = spark.createDataFrame(some, "key string, seq int, text string")
+        assert [tuple(r) for r in segment.upsert_latest(df, ["key"], "seq").collect()] == [("k", 1, "c")]
+
+
 def test_upsert_latest_last_write_wins(spark):
     df = spark.createDataFrame([("k", 0, "x"), ("k", 2, "z"), ("k", 1, "y"), ("j", 0, "q")],
                                "key string, seq int, text string")
@@ -75,6 +100,14 @@ def test_cut_lineage_uses_the_shared_checkpoint_folder(spark):
     assert any(os.scandir(folder.replace("file:", "")))
 
 
+def test_chat_render_joins_blocks_in_order(spark):
+    from furiframe.operators import chat
+
+    turns = spark.createDataFrame([(1, t, "user", str(t)) for t in range(50)], "conv_id long, turn long, role string, text string")
+    row = chat.chat_render(turns.repartition(6), start="", end="", block=7).first()
+    assert row.n_turns == 50 and row.rendered == "".join(f"user\n{t}\n" for t in range(50))
+
+
 def test_chat_render_and_prompt_lines(spark):
     from furiframe.operators import chat
 

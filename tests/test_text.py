@@ -27,7 +27,7 @@ def test_split_literal_keeps_empty_pieces(spark):
 def test_segmentation_goldens(spark):
     long = "長" * 150
     corpus = spark.createDataFrame([("<urn:uuid:ABC>", "a。 。b。"), ("d2", long)], "id string, text string")
-    rows = seg.segment_sentences(corpus, "id", "text", "。").orderBy("id", "seq").collect()
+    rows = seg.segment_sentences(corpus, "id", "text", "。", max_chars=100).orderBy("id", "seq").collect()
     got = [(r["id"], r["seq"], r["text"]) for r in rows]
     assert got == [("<urn:uuid:ABC>", 0, "a。"), ("<urn:uuid:ABC>", 1, "b。"), ("d2", 0, "長" * 100)]
     # The reference's literal delimiter: the whole document is one segment, '。' appended.
