@@ -10,19 +10,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furiframe.llm.common import frozen
+from furiframe.llm.common import frozen, text_batches
 from furiframe.llm.langid import UNDETERMINED, fit_language_id, language_column
 from furiframe.llm.line_dedup import dedup_lines
 from furiframe.llm.packing import pack_documents
 from furiframe.llm.quality_model import fit_quality, quality_column
 from furiframe.llm.simhash import keep_one
 
-MIN_LANGUAGE_SCORE = 0.5
+MIN_LANGUAGE_SCORE = 0.35  # texts in two languages stay
 MIN_QUALITY = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter or without a language of at least even odds (operator 8)."""
+    """Rejects documents without a letter or without a language of some probability (operator 8)."""
+    text_batches(spark)
     found = docs.withColumns({"_ff_l": language_column(F.col("text"), fit_language_id(docs))})
     sure = (F.col("_ff_l.lang") != UNDETERMINED) & (F.col("_ff_l.score") >= MIN_LANGUAGE_SCORE)
     return found.where(sure).drop("_ff_l")
@@ -30,12 +31,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that are likelier bad than good (operator 9)."""
+    text_batches(spark)
     scored = docs.withColumns({"_ff_q": quality_column(F.col("text"), fit_quality(docs))})
     return scored.where(F.col("_ff_q") >= MIN_QUALITY).drop("_ff_q")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in at least 10 documents go everywhere (operator 3); n_chars follows the text."""
+    text_batches(spark)
     out = dedup_lines(docs, min_docs=10, min_chars=1, keep="none")
     new = {"text": F.when(F.col("n_dropped") > 0, F.col("text")).otherwise(F.col("row.text")),
            "n_chars": F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("row")["n_chars"])
@@ -45,11 +48,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each SimHash group the document with the smallest id stays (operator 6)."""
+    text_batches(spark)
     return keep_one(docs, shingle=3, bits=3)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 2048 tokens (operator 4)."""
+    text_batches(spark)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 

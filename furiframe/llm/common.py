@@ -38,6 +38,14 @@ def frozen(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """For the queries and the pipeline: Arrow batches of at most ``rows`` texts, unless the session
+    has a setting of its own (the default of 10,000 whole texts is tens to hundreds of MB a task)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

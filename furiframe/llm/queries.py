@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from furiframe.llm.bpe import encode_documents, load_ranks
+from furiframe.llm.common import text_batches
 from furiframe.llm.exact_dedup import exact_dedup
 from furiframe.llm.langid import fit_language_id, predict_language
 from furiframe.llm.line_dedup import dedup_lines
@@ -19,6 +20,7 @@ from furiframe.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
