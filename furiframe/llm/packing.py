@@ -24,8 +24,6 @@ _ENDS = frozenset(".,;:!?")
 # Plain words: characters below U+0250, where composition changes nothing and lower-casing one character
 # gives one (but for U+0130).
 _PLAIN = re.compile("[\x00-\u012f\u0131-\u024f]*")
-# Python's and Arrow's white space has these four more than the tokenizer's.
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -106,12 +104,27 @@ class WordTokenizer:
         in_doc = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]).astype(np.int64)
         cut = np.concatenate([[0], ends])[in_doc].tolist()
         out = [tokens[a:b] for a, b in zip(cut, cut[1:])]
+        # Arrow's white space has four characters more than the tokenizer's: such texts go whole.
         odd = pc.match_substring_regex(texts, "[\x1c-\x1f]").to_numpy(zero_copy_only=False)
         for i in np.flatnonzero(odd).tolist():
             out[i] = np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids)
         return out
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches put together up to about a slice: a word that repeats is then looked up once."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= _SLICE_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
     start = size = 0
@@ -130,7 +143,7 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, capacity: int, end_id: in
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokenizer(tokenizer_json)
-        for b in batches:
+        for b in _gathered(batches):
             for lo, hi in _slices(b.column(2)):
                 part = b.slice(lo, hi - lo)
                 source, piece, start, length, crc = [], [], [], [], []
