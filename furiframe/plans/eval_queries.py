@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furiframe.functions import text as T
 from furiframe.operators import evaluate as ev
 from furiframe.operators import segment as seg
 from furiframe.plans import sqltext as S
