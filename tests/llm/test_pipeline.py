@@ -77,3 +77,16 @@ def test_empty_table_passes_every_stage(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.collect() == []
+
+
+def test_copied_texts_outlive_line_dedup(spark):
+    lines = [f"line {k} of the copied text, number {k * k}" for k in range(20)]
+    copy, own = "\n".join(lines), " ".join(f"word{i}" for i in range(40))
+    near = ["\n".join([*lines[:k], f"changed in copy {k}", *lines[k + 1:]]) for k in range(12)]
+    rows = [(i, copy) for i in range(12)] + [(100 + i, t) for i, t in enumerate(near)]
+    rows += [(200 + i, f"All rights reserved\n{own} {i}") for i in range(12)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.line_dedup(spark, docs, SF)
+    assert texts(out) == [(i, t) for i, t in rows[:24]] + [(200 + i, f"{own} {i}") for i in range(12)]
+    assert all(r.n_chars == len(r.text) for r in out.collect())
+    assert [t for _, t in texts(corpus_pipeline.near_dedup(spark, out, SF))].count(copy) == 1
