@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from furiframe.llm.common import ASCII_SPACE, frozen, text_batches, text_or_empty
-from furiframe.llm.langid import UNDETERMINED, fit_language_id, language_column
+from furiframe.llm.langid import UNDETERMINED, fit_language_id, known_script, language_column
 from furiframe.llm.line_dedup import dedup_lines
 from furiframe.llm.packing import pack_documents
 from furiframe.llm.quality_model import fit_quality, quality_column
@@ -22,10 +22,14 @@ MIN_QUALITY = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter or without a language of some probability (operator 8)."""
+    """Rejects documents without a letter, with more than half of their letters outside those the
+    model was trained on, or without a language of some probability (operator 8)."""
     text_batches(spark)
-    found = docs.withColumns({"_ff_l": language_column(F.col("text"), fit_language_id(docs))})
+    model = fit_language_id(docs)
+    found = docs.withColumns({"_ff_l": language_column(F.col("text"), model)})
     sure = (F.col("_ff_l.lang") != UNDETERMINED) & (F.col("_ff_l.score") >= MIN_LANGUAGE_SCORE)
+    if model is not None:
+        sure = sure & known_script(F.col("text"), model.letters)
     return found.where(sure).drop("_ff_l")
 
 

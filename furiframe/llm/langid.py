@@ -40,6 +40,7 @@ class ByteCnn:
     shift: list[np.ndarray]  # per width: (FILTERS,)
     dense: np.ndarray  # (len(WIDTHS) * FILTERS, langs)
     dense_shift: np.ndarray
+    letters: str = ""  # met in training, in both cases
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -167,7 +168,17 @@ def fit_language_id(docs: DataFrame, fit_rows: int = 4000, windows_a_row: int =
     langs = sorted({r[0] for r in rows})
     x = np.frombuffer(b"".join(r[1] for r in rows), np.uint8).reshape(-1, WINDOW)
     y = np.array([langs.index(r[0]) for r in rows])
-    return train_cnn(x, y, langs)
+    model = train_cnn(x, y, langs)
+    met = {c for r in rows for c in r[1].decode("utf-8", "ignore") if c.isalpha()}
+    model.letters = "".join(sorted({x for c in met for x in c + c.lower() + c.upper()}))
+    return model
+
+
+def known_script(text: Column, letters: str) -> Column:
+    """Column form: true where at least half of a text's letters are among ``letters`` (also without a letter)."""
+    text = text_or_empty(text)
+    rest = F.translate(text, letters, "")
+    return F.length(F.regexp_replace(rest, r"\P{L}+", "")) <= F.length(text) - F.length(rest)
 
 
 def language_column(text: Column, model: ByteCnn | None) -> Column:

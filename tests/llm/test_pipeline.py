@@ -90,3 +90,14 @@ def test_copied_texts_outlive_line_dedup(spark):
     assert texts(out) == [(i, t) for i, t in rows[:24]] + [(200 + i, f"{own} {i}") for i in range(12)]
     assert all(r.n_chars == len(r.text) for r in out.collect())
     assert [t for _, t in texts(corpus_pipeline.near_dedup(spark, out, SF))].count(copy) == 1
+
+
+def test_texts_in_no_learnt_language_go_and_those_in_two_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = {r["lang"]: r["text"] for r in docs.where("length(text) > 2000").orderBy("doc_id").collect()}
+    two = found["en"][:1500] + "\n" + found["de"][:1500]
+    planted = {-1: "Это обычный текст на языке, которого нет в таблицах. " * 40, -2: "これは表にない言語で書かれた普通の文章です。" * 40,
+               -3: two, -4: two + "\nЭто цитата."}
+    rows = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in planted.items()], docs.schema)
+    out = {i for i, _ in texts(corpus_pipeline.language_id(spark, docs.unionByName(rows), SF))}
+    assert out & planted.keys() == {-3, -4}
