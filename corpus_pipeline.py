@@ -23,14 +23,18 @@ MIN_QUALITY = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter, with more than half of their letters outside those the
-    model was trained on, or without a language of some probability (operator 8)."""
+    model was trained on, or without a language of some probability (operator 8).
+
+    Where no row can train a model (no language outside the held-out ids),
+    only documents without a letter go.
+    """
     text_batches(spark)
     model = fit_language_id(docs)
+    if model is None:
+        return docs.where(text_or_empty("text").rlike(r"\p{L}"))
     found = docs.withColumns({"_ff_l": language_column(F.col("text"), model)})
     sure = (F.col("_ff_l.lang") != UNDETERMINED) & (F.col("_ff_l.score") >= MIN_LANGUAGE_SCORE)
-    if model is not None:
-        sure = sure & known_script(F.col("text"), model.letters)
-    return found.where(sure).drop("_ff_l")
+    return found.where(sure & known_script(F.col("text"), model.letters)).drop("_ff_l")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

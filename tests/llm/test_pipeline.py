@@ -101,3 +101,10 @@ def test_texts_in_no_learnt_language_go_and_those_in_two_stay(spark):
     rows = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in planted.items()], docs.schema)
     out = {i for i, _ in texts(corpus_pipeline.language_id(spark, docs.unionByName(rows), SF))}
     assert out & planted.keys() == {-3, -4}
+
+
+def test_without_a_language_model_only_letterless_texts_go(spark):
+    rows = [(1, "some words"), (2, "Слова"), (3, "123 !"), (4, ""), (5, None), (None, "a")]
+    docs = spark.createDataFrame([(i, t, None) for i, t in rows], "doc_id long, text string, lang string")
+    out = corpus_pipeline.language_id(spark, docs, SF)
+    assert out.schema == docs.schema and {r.text for r in out.collect()} == {"some words", "Слова", "a"}
