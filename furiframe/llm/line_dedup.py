@@ -180,6 +180,11 @@ def _apply_bitmap(text: pd.Series, bitmap: pd.Series) -> pd.Series:
     return pd.Series([one(t, b) for t, b in zip(text, bitmap)], dtype=object)
 
 
+def _positions(gone: DataFrame) -> DataFrame:
+    """All dropped positions of an id and text hash; rows alike in both bring the same lists, and one of each is held."""
+    return gone.groupBy("_ff_id", "_ff_t").agg(F.first("_ff_lines").alias("n_lines"), F.collect_set("_ff_at").alias("_ff_lists"))
+
+
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10,
                  min_chars: int = 1, keep: str = "none") -> DataFrame:
     """Keep bitmaps of the documents that lose lines: (_ff_id, _ff_t, n_lines, n_dropped, keep_bitmap),
@@ -189,8 +194,7 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("_ff_id"), F.xxhash64(text_or_empty(text_col)).alias("_ff_t"),
                        text_or_empty(text_col).alias("_ff_text"))
     gone = dropped_lines(rows, min_docs, min_chars, keep)
-    return (gone.groupBy("_ff_id", "_ff_t")
-            .agg(F.first("_ff_lines").alias("n_lines"), F.array_distinct(F.flatten(F.collect_list("_ff_at"))).alias("_ff_at"))
+    return (_positions(gone).withColumn("_ff_at", F.array_distinct(F.flatten("_ff_lists")))
             .select("_ff_id", "_ff_t", "n_lines", F.size("_ff_at").alias("n_dropped"),
                     _bitmap("n_lines", "_ff_at").alias("keep_bitmap")))
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from furiframe.llm.line_dedup import dedup_lines, keep_bitmaps
+from furiframe.llm.line_dedup import _positions, dedup_lines, dropped_lines, keep_bitmaps
 
 from .edge import CLASHING, edge_docs, edge_texts, empty_docs
 
@@ -69,3 +69,10 @@ def test_hot_line_spreads_and_bitmap_reads_back(spark):
 
 def test_empty_table(spark):
     assert dedup_lines(empty_docs(spark)).collect() == []
+
+
+def test_repeated_rows_are_held_once(spark):
+    docs = spark.range(500).select(F.lit(None).cast("long").alias("_ff_id"), F.lit(1).cast("long").alias("_ff_t"),
+                                   F.lit("a\nb\na\nc").alias("_ff_text"))
+    row = _positions(dropped_lines(docs, 10, 1, "none")).collect()
+    assert [(r.n_lines, sorted(r["_ff_lists"])) for r in row] == [(4, [[0, 2], [1], [3]])]
