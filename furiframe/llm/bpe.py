@@ -65,7 +65,7 @@ def _pack_codes(codes: np.ndarray) -> bytes:
     two = (c >= 192) & (c < _COMMON)
     low = ((c[two] - 192) & 255).astype(np.uint8)
     rest = (c[wide == 255] - _COMMON).astype("<u4")
-    planes = rest.view(np.uint8).reshape(-1, 4).T[:3]
+    planes = rest.view(np.uint8).reshape(-1, 4).T[: 3 if rest.max(initial=0) < 1 << 24 else 4]
     head = len(c).to_bytes(8, "little") + len(low).to_bytes(8, "little")
     return head + zstandard.compress(wide.tobytes() + low.tobytes() + planes.tobytes(), 3)
 
@@ -73,11 +73,13 @@ def _pack_codes(codes: np.ndarray) -> bytes:
 def _unpack_codes(packed: bytes) -> np.ndarray:
     n, m = (int.from_bytes(packed[a: a + 8], "little") for a in (0, 8))
     raw = np.frombuffer(zstandard.decompress(packed[16:]), np.uint8)
-    wide, low, planes = raw[:n], raw[n: n + m], raw[n + m:].reshape(3, -1).astype(np.int64)
+    wide, low = raw[:n], raw[n: n + m]
     out = wide.astype(np.int64)
     two = (wide >= 192) & (wide < 255)
     out[two] = 192 + ((out[two] - 192) << 8) + low
-    out[wide == 255] = _COMMON + (planes[0] | planes[1] << 8 | planes[2] << 16)
+    if (wide == 255).any():
+        planes = raw[n + m:].reshape(-1, np.count_nonzero(wide == 255)).astype(np.int64)  # three, or four where a number needs it
+        out[wide == 255] = _COMMON + sum(p << 8 * k for k, p in enumerate(planes))
     return out
 
 

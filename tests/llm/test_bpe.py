@@ -43,6 +43,11 @@ def test_code_packing(codes):
     assert bpe._unpack_codes(bpe._pack_codes(np.array(codes, np.int64))).tolist() == codes
 
 
+@pytest.mark.parametrize("codes", [[2**24 - 1, 2**24 + 192 + 63 * 256, 5], [2**31, 300, 2**32 - 1]])
+def test_codes_of_four_bytes(codes):
+    assert bpe._unpack_codes(bpe._pack_codes(np.array(codes, np.int64))).tolist() == codes
+
+
 def test_null_ids_stay_null_and_unknown_ids_raise(spark):
     df = spark.createDataFrame([(1, None), (2, bytearray(np.array([1], "<u4").tobytes()))], "doc_id long, ids binary")
     assert [r.decoded is None for r in bpe.decode_ids(df, RANKS).orderBy("doc_id").collect()] == [True, False]
