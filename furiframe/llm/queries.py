@@ -10,6 +10,7 @@ from furiframe.llm.bpe import encode_documents, load_ranks
 from furiframe.llm.common import text_batches
 from furiframe.llm.exact_dedup import exact_dedup
 from furiframe.llm.langid import fit_language_id, predict_language
+from furiframe.llm.lexical_search import ranked_search
 from furiframe.llm.line_dedup import dedup_lines
 from furiframe.llm.packing import pack_documents
 from furiframe.llm.quality_model import fit_quality, score_quality
@@ -17,6 +18,7 @@ from furiframe.llm.quality_rules import quality_rules
 from furiframe.llm.sharding import shard_documents
 from furiframe.llm.simhash import simhash_dedup
 from furiframe.llm.toxicity import fit_toxicity, score_toxicity
+from furiframe.llm.winnowing import edited_fingerprints
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +74,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(documents(spark, sf_dir), k=5, window=8)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=50)
+
+
 # Jump hashing, iterated by a recursive CTE in 128-bit integers modulo 2^64; CRC-32
 # (polynomial 0xEDB88320, reflected) folded over the UTF-8 bytes with a derived table.
 _OP1 = """
@@ -176,6 +186,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM counts LEFT JOIN bad USING (source)
 """
 
+_OP13 = """
+WITH terms AS (
+  SELECT d, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term
+  FROM (SELECT row_number() OVER () AS d, doc_id, text FROM documents)
+), counted AS (
+  SELECT d, doc_id, term, count(*) AS tf FROM terms GROUP BY ALL
+), sized AS (
+  SELECT d, sum(tf)::BIGINT AS n FROM counted GROUP BY d
+), corpus AS (
+  SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM sized
+), weighted AS (
+  SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted, corpus GROUP BY term, nd
+), asked AS (
+  SELECT DISTINCT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                        '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term
+  FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)
+), scored AS (
+  SELECT i, item_id, d, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nd) // l))))::BIGINT AS score
+  FROM asked JOIN counted USING (term) JOIN weighted USING (term) JOIN sized USING (d), corpus
+  GROUP BY ALL
+)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, d) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50
+"""
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_toxicity": op2_toxicity,
@@ -187,6 +226,8 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_quality_model": op9_quality_model,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_winnowing": op12_winnowing,
+    "op13_lexical_search": op13_lexical_search,
 }
 
-ORACLES = {"op1_sharding": _OP1, "op3_line_dedup": _OP3, "op7_quality_rules": _OP7, "op10_exact_dedup": _OP10}
+ORACLES = {"op1_sharding": _OP1, "op3_line_dedup": _OP3, "op7_quality_rules": _OP7, "op10_exact_dedup": _OP10, "op13_lexical_search": _OP13}
