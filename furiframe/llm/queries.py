@@ -13,6 +13,7 @@ from furiframe.llm.langid import fit_language_id, predict_language
 from furiframe.llm.lexical_search import ranked_search
 from furiframe.llm.line_dedup import dedup_lines
 from furiframe.llm.packing import pack_documents
+from furiframe.llm.prefix_trie import prefix_trie
 from furiframe.llm.quality_model import fit_quality, score_quality
 from furiframe.llm.quality_rules import quality_rules
 from furiframe.llm.sharding import shard_documents
@@ -74,6 +75,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"), family=20, heads=4, container_turns=4096)
+
+
 def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(documents(spark, sf_dir), k=5, window=8)
 
@@ -84,12 +89,22 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Jump hashing, iterated by a recursive CTE in 128-bit integers modulo 2^64; CRC-32
 # (polynomial 0xEDB88320, reflected) folded over the UTF-8 bytes with a derived table.
-_OP1 = """
-WITH RECURSIVE crc_bits AS (
+_CRC_TABLE = """
+crc_bits AS (
   SELECT range AS i, range::BIGINT AS c, 0 AS k FROM range(256)
   UNION ALL
   SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM crc_bits WHERE k < 8
-), crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc_bits WHERE k = 8),
+), crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc_bits WHERE k = 8)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+          regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)),
+        lambda a, b: xor(a // 256, t[(xor(a, b) & 255) + 1])), 4294967295)"""
+
+
+_OP1 = f"""
+WITH RECURSIVE {_CRC_TABLE},
 jump AS (
   SELECT doc_id, n, ((coalesce(doc_id, 0)::HUGEINT + 18446744073709551616) % 18446744073709551616) AS k,
          -1::BIGINT AS b, 0::BIGINT AS j
@@ -103,9 +118,7 @@ jump AS (
   FROM jump WHERE j >= n GROUP BY doc_id
 ), sized AS (
   SELECT doc_id, (coalesce(strlen(text), 0) + 1)::BIGINT AS size,
-    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
-          regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
-        lambda a, b: xor(a // 256, t[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32
+    {_crc32("coalesce(text, '')")} AS text_crc32
   FROM documents, crc_table
 )
 SELECT d.doc_id, size, text_crc32, 'key' AS law, shard,
@@ -186,6 +199,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM counts LEFT JOIN bad USING (source)
 """
 
+# A node is the path of the digests of its turns; a path is a prefix of those of its subtree.
+_OP11 = f"""
+WITH RECURSIVE {_CRC_TABLE}, t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, n, {_crc32("conv_id::VARCHAR")} % 4 AS h
+  FROM (SELECT conv_id, count(*) AS n FROM t GROUP BY 1), crc_table
+), rebuilt AS (
+  SELECT c.conv_id, t.p AS d, k, w FROM convs c JOIN t ON t.conv_id = c.base AND t.p <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.p - c.h + least(c.h, coalesce(b.n, 0)), k, w
+  FROM convs c JOIN t ON t.conv_id = c.conv_id AND t.p > c.h LEFT JOIN convs b ON b.conv_id = c.base
+), paths AS (
+  SELECT conv_id, d, w, string_agg(k, '') OVER (PARTITION BY conv_id ORDER BY d) AS path FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(w) AS own,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = last), '') AS ends
+  FROM (SELECT *, max(d) OVER (PARTITION BY conv_id) AS last FROM paths) GROUP BY path, d
+), children AS (
+  SELECT left(path, 32 * (d - 1)::INT) AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), sums AS (
+  SELECT left(path, 32 * up::INT) AS path, sum(own) AS saved, count(*) FILTER (NOT has) AS leaves
+  FROM (SELECT nodes.path, own, children.path IS NOT NULL AS has, unnest(range(0, d + 1)) AS up FROM nodes LEFT JOIN children USING (path))
+  GROUP BY 1
+)
+SELECT a.conv_id, a.d AS depth, b.conv_id AS parent_conv_id, a.n_convs, coalesce(c.n, 0) AS n_children,
+       s.leaves AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(a.ends) AS ends_sha256
+FROM nodes a JOIN sums s USING (path) LEFT JOIN children c USING (path)
+LEFT JOIN nodes b ON a.d > 0 AND b.path = left(a.path, 32 * (a.d - 1)::INT)
+"""
+
 _OP13 = """
 WITH terms AS (
   SELECT d, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -226,8 +274,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_quality_model": op9_quality_model,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_winnowing": op12_winnowing,
     "op13_lexical_search": op13_lexical_search,
 }
 
-ORACLES = {"op1_sharding": _OP1, "op3_line_dedup": _OP3, "op7_quality_rules": _OP7, "op10_exact_dedup": _OP10, "op13_lexical_search": _OP13}
+ORACLES = {"op1_sharding": _OP1, "op3_line_dedup": _OP3, "op7_quality_rules": _OP7, "op10_exact_dedup": _OP10, "op11_prefix_trie": _OP11, "op13_lexical_search": _OP13}

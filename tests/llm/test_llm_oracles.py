@@ -11,7 +11,7 @@ from tools.oracle_check import rows_of
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "labels"):
+    for t in ("documents", "labels", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF001)
     rel = con.sql(queries.ORACLES[name])
@@ -20,4 +20,4 @@ def test_query_matches_sql(spark, name):
 
 
 def test_names():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
