@@ -3,11 +3,12 @@
 Conversations that share their first turns share trie nodes. Distinct turn
 sequences are suffixes in containers under trie heads, one container (the
 root's) at first. A container with more turns than a bound bursts: its head
-becomes a node and its suffixes move to one container for each next turn id.
+becomes a node and its suffixes move to one container for each next turn id
+(a round of Spark jobs bursts up to ``_LEVELS`` turns deep).
 Containers within the bound are sorted and swept into nodes by one task each;
 a container of a single suffix is a chain of nodes and needs no task of its
-own, however long. Sums over subtrees go up from the containers, one level of
-heads at a time.
+own, however long. Sums over subtrees go up the suffixes' paths, each node
+counted by its smallest conversation.
 
 Sequences that occur in many conversations are one suffix with a count, found
 by a range sort of narrow rows, so a hot sequence spreads over tasks; a
@@ -30,6 +31,7 @@ from furiframe.llm.common import frozen, shuffle_partitions, text_or_empty, with
 
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 _CHUNK = 4096
+_LEVELS = 64
 _NODE = "conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, end_id long"
 
 
@@ -234,58 +236,79 @@ def prefix_trie(turns: DataFrame, family: int = 20, heads: int = 4, container_tu
     classes = sequence_classes(rows, convs)
     turns_of = frozen(rows.withColumnRenamed("conv_id", "rep").join(classes.select("rep", "copies", "n_turns"), "rep"))
 
-    # Suffixes under their heads, all at the same depth; the root's first.
-    active = classes.select("rep", "copies", "n_turns", F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"),
-                            F.lit(0).cast("long").alias("w"), F.lit(None).cast("long").alias("parent"))
-    level, closed, levels = 0, None, []
-    while True:
-        heads_now = frozen(active.groupBy("h1", "h2").agg(
-            F.min("rep").alias("conv_id"), F.sum("copies").alias("n_convs"), F.min("w").alias("w"), F.min("parent").alias("parent"),
-            F.max(F.when(F.col("n_turns") == level, F.col("rep"))).alias("end_id"), F.count(F.lit(1)).alias("k"),
-            F.sum(F.col("n_turns") - level).alias("below")).withColumn("burst", (F.col("k") > 1) & (F.col("below") > container_turns)))
-        levels.append(heads_now)
-        # Heads that burst are at most turns / container_turns; AQE broadcasts them by their measured size.
-        burst = heads_now.where("burst").select("h1", "h2", F.col("conv_id").alias("head_id"))
-        marked = active.join(burst, ["h1", "h2"], "left")
-        # The others have one suffix or at most container_turns turns: no hot key.
-        kept = marked.where("head_id is null").select("rep", "h1", "h2").join(
-            heads_now.where("not burst").select("h1", "h2", F.col("conv_id").alias("head_id"), "k"), ["h1", "h2"]).withColumn("level", F.lit(level).cast("long"))
-        closed = kept if closed is None else closed.unionByName(kept)
-        if burst.limit(1).count() == 0:
-            break
-        step = turns_of.where(F.col("d") == level + 1).select("rep", "t1", "t2", F.col("w").alias("w"))
-        active = frozen(marked.where(F.col("head_id").isNotNull() & (F.col("n_turns") > level)).select("rep", "copies", "n_turns", "h1", "h2", "head_id").join(
-            step, "rep").select("rep", "copies", "n_turns", F.xxhash64("h1", "t1", "t2").alias("h1"), F.xxhash64("t2", "h2", "t1").alias("h2"), "w",
-                                F.col("head_id").alias("parent")))
-        level += 1
-
-    held = frozen(turns_of.join(frozen(closed), "rep").where(F.col("d") > F.col("level")))
+    none = F.lit(None).cast("long")
+    total = classes.agg(F.count(F.lit(1)).alias("k"), F.sum("n_turns").alias("below"), F.min("rep").alias("id")).first()
+    bursts = total.k > 1 and total.below > container_turns
+    # Paths: each suffix's heads from the root to its container; own_id is the id of a head that bursts.
+    at = [F.lit(0).cast("long").alias(c) for c in ("d", "h1", "h2", "w")]
+    path = classes.select("rep", "copies", "n_turns", *at, none.alias("parent"), (F.lit(total.id) if bursts else none).cast("long").alias("own_id"))
+    paths, level = path, 0
+    active = path.where(F.col("own_id").isNotNull() & (F.col("n_turns") > 0)).select("rep", "h1", "h2", F.col("own_id").alias("head_id"))
+    while bursts:
+        path = _burst(turns_of, active, level, container_turns)
+        paths, level = paths.unionByName(path), level + _LEVELS
+        active = path.where((F.col("d") == level) & F.col("own_id").isNotNull() & (F.col("n_turns") > level)).select(
+            "rep", "h1", "h2", F.col("own_id").alias("head_id"))
+        bursts = active.limit(1).count() > 0
+
+    head = ["d", "h1", "h2"]
+    heads_all = frozen(paths.groupBy(*head).agg(
+        F.min("rep").alias("conv_id"), F.sum("copies").alias("n_convs"), F.min("w").alias("w"), F.min("parent").alias("parent_conv_id"),
+        F.max(F.when(F.col("n_turns") == F.col("d"), F.col("rep"))).alias("end_id"), F.count(F.lit(1)).alias("k")))
+    # A container has one suffix or at most container_turns turns: no hot key.
+    closed = paths.where("own_id is null").select("rep", *head).join(
+        heads_all.select(*head, F.col("conv_id").alias("head_id"), "k"), head).withColumnRenamed("d", "level")
+    held = frozen(turns_of.join(closed, "rep").where(F.col("d") > F.col("level")))
+    one = F.lit(1).cast("long")
+    saved = (F.col("copies") - 1) * F.col("rest")
     chains = held.where("k = 1").select(
         F.col("rep").alias("conv_id"), F.col("d").alias("depth"), F.col("rep").alias("parent_conv_id"), F.col("copies").alias("n_convs"),
-        (F.col("d") < F.col("n_turns")).cast("long").alias("n_children"), F.lit(1).cast("long").alias("n_leaves"),
-        ((F.col("copies") - 1) * F.col("rest")).alias("saved_tokens"), F.when(F.col("d") == F.col("n_turns"), F.col("rep")).alias("end_id"))
-    swept = frozen(held.where("k > 1").select("h1", "h2", "level", "head_id", "rep", "copies", "d", "t1", "t2", "w").groupBy("h1", "h2").applyInPandas(
+        (F.col("d") < F.col("n_turns")).cast("long").alias("n_children"), one.alias("n_leaves"), saved.alias("saved_tokens"),
+        F.when(F.col("d") == F.col("n_turns"), F.col("rep")).alias("end_id"))
+    swept = frozen(held.where("k > 1").select("h1", "h2", "level", "head_id", "rep", "copies", "d", "t1", "t2", "w").groupBy("level", "h1", "h2").applyInPandas(
         _swept, _NODE + ", is_head boolean"))
-    # What hangs below a head: from its sweep, or from the first turn of its chain.
-    sums = ["n_children", "n_leaves", "saved_tokens"]
-    below = swept.where("is_head").select("conv_id", "depth", *sums).unionByName(held.where("k = 1 and d = level + 1").select(
-        F.col("rep").alias("conv_id"), F.col("level").alias("depth"), F.lit(1).cast("long").alias("n_children"),
-        F.lit(1).cast("long").alias("n_leaves"), ((F.col("copies") - 1) * F.col("rest")).alias("saved_tokens")))
-    tops, above = None, None
-    for at in range(level, -1, -1):
-        found = below.where(F.col("depth") == at).drop("depth")
-        if above is not None:  # children of burst heads
-            found = found.unionByName(above.groupBy(F.col("parent").alias("conv_id")).agg(
-                F.count(F.lit(1)).alias("n_children"), F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens")))
-        here = levels[at].join(found, "conv_id", "left").select(
-            "conv_id", F.lit(at).cast("long").alias("depth"), F.col("parent"), "n_convs", F.coalesce("n_children", F.lit(0)).alias("n_children"),
-            F.coalesce("n_leaves", F.lit(1)).alias("n_leaves"),
-            (F.coalesce("saved_tokens", F.lit(0)) + (F.col("n_convs") - 1) * F.col("w")).alias("saved_tokens"), "end_id")
-        above = frozen(here)
-        tops = above if tops is None else tops.unionByName(above)
-    nodes = tops.withColumnRenamed("parent", "parent_conv_id").unionByName(swept.where("not is_head").drop("is_head")).unionByName(chains)
+
+    # What hangs below a head: from its sweep, or from the first turn of its chain. Ids are unique at a depth.
+    below = swept.where("is_head").select(F.col("conv_id").alias("rep"), F.col("depth").alias("d"), "n_children", "n_leaves", "saved_tokens").unionByName(
+        held.where("k = 1 and d = level + 1").select("rep", F.col("level").alias("d"), one.alias("n_children"), one.alias("n_leaves"), saved.alias("saved_tokens")))
+    owned = heads_all.select("d", F.col("conv_id").alias("rep"), ((F.col("n_convs") - 1) * F.col("w")).alias("own"))
+    here = F.col("own_id").isNull() & F.col("own").isNotNull()  # a container, at its smallest conversation
+    sums = paths.join(owned, ["rep", "d"], "left").join(below, ["rep", "d"], "left").select(
+        "rep", *head, F.when(here, F.coalesce("n_children", F.lit(0))).alias("n_children"), F.when(here, F.coalesce("n_leaves", F.lit(1))).alias("n_leaves"),
+        (F.coalesce("own", F.lit(0)) + F.when(here, F.coalesce("saved_tokens", F.lit(0))).otherwise(0)).alias("saved_tokens"))
+    up = Window.partitionBy("rep").orderBy(F.desc("d")).rowsBetween(Window.unboundedPreceding, 0)
+    sums = sums.select(*head, "n_children", F.sum("n_leaves").over(up).alias("n_leaves"), F.sum("saved_tokens").over(up).alias("saved_tokens"))
+    sums = sums.groupBy(*head).agg(*[F.sum(c).alias(c) for c in ("n_children", "n_leaves", "saved_tokens")])
+    children = heads_all.where("d > 0").groupBy((F.col("d") - 1).alias("d"), F.col("parent_conv_id").alias("conv_id")).agg(F.count(F.lit(1)).alias("n"))
+    tops = heads_all.join(sums, head).join(children, ["d", "conv_id"], "left").select(
+        "conv_id", F.col("d").alias("depth"), "parent_conv_id", "n_convs", F.coalesce("n", "n_children", F.lit(0)).alias("n_children"),
+        "n_leaves", "saved_tokens", "end_id")
+    nodes = tops.unionByName(swept.where("not is_head").drop("is_head")).unionByName(chains)
     # A sequence ends at one node; other nodes get keys of their own, so that they spread.
     ends = classes.select(F.col("rep").alias("key"), F.lit(True).alias("ended"), "ends_sha256")
     nodes = nodes.withColumn("ended", F.col("end_id").isNotNull()).withColumn("key", F.coalesce("end_id", F.xxhash64("conv_id", "depth")))
     return nodes.join(ends, ["key", "ended"], "left").select(
-        "conv_id", "depth", "parent_conv_id", "n_convs", *sums, F.coalesce("ends_sha256", F.lit(EMPTY_SHA)).alias("ends_sha256"))
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.lit(EMPTY_SHA)).alias("ends_sha256"))
+
+
+def _burst(turns: DataFrame, active: DataFrame, level: int, container_turns: int) -> DataFrame:
+    """Move the active suffixes (``rep, h1, h2, head_id``, at depth ``level``) up to ``_LEVELS`` turns down.
+
+    Returns their path rows: a row for each head met, the last one either a
+    container within the bound (``own_id`` null) or one that bursts too.
+    """
+    step = turns.where((F.col("d") > level) & (F.col("d") <= level + _LEVELS)).join(active, "rep")
+    down = Window.partitionBy("rep").orderBy("d")  # at most _LEVELS rows
+    run = down.rowsBetween(Window.unboundedPreceding, 0)
+    x1, x2 = F.xxhash64("d", "t1", "t2"), F.xxhash64("t2", "d", "t1")
+    rows = frozen(step.select(
+        "rep", "copies", "n_turns", "d", "w", "head_id", F.col("h1").bitwiseXOR(F.bit_xor(x1).over(run)).alias("h1"),
+        F.col("h2").bitwiseXOR(F.bit_xor(x2).over(run)).alias("h2")))
+    sizes = rows.groupBy("d", "h1", "h2").agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("n_turns") - F.col("d")).alias("below"), F.min("rep").alias("own_id"))
+    # At most turns / container_turns heads a depth; AQE broadcasts them by their measured size.
+    marked = rows.join(sizes.where((F.col("k") > 1) & (F.col("below") > container_turns)).drop("k", "below"), ["d", "h1", "h2"], "left")
+    # What is under a container within the bound is within it too: a path goes on below a head that bursts.
+    parent = F.when(F.col("d") == level + 1, F.col("head_id")).otherwise(F.lag("own_id").over(down))
+    return frozen(marked.withColumn("parent", parent).where(F.col("parent").isNotNull()).select(
+        "rep", "copies", "n_turns", "d", "h1", "h2", "w", "parent", "own_id"))
