@@ -2,8 +2,8 @@
 
 Plan shape: truth and transcripts are joined once on their key (a
 sort-merge join on a unique key; AQE may turn it into a broadcast join when
-one side is small at run time), ``levenshtein`` runs per row inside codegen,
-and every summary is a partially aggregated hash aggregate (map-side
+one side is small at run time), distances go in Arrow batches where the JVM
+has no exact short answer, and every summary is a partially aggregated hash aggregate (map-side
 combine, so the shuffle carries one row per map task and group).
 """
 
@@ -26,15 +26,18 @@ REPORT_AVERAGE, REPORT_ACCURACY = "Average CER:", "Overall Accuracy:"
 
 def score_pairs(truth: DataFrame, recognized: DataFrame, keys: Sequence[str] = ("name",),
                 truth_col: str = "text", hyp_col: str = "text",
-                extra_cols: Sequence[str] = ()) -> DataFrame:
+                extra_cols: Sequence[str] = (), ordered: bool = False) -> DataFrame:
     """Inner join truth x recognised on ``keys``; one row per common key.
 
     Output: ``keys..., extra_cols..., edits, ref_len, cer``. Keys present on
     one side only are ignored (see ``unmatched_keys`` for the listing).
+    ``ordered`` returns the rows in the order of ``keys``.
     """
     t = truth.select(*keys, score_normalize(truth_col).alias("_t"))
     r = recognized.select(*keys, *extra_cols, score_normalize(hyp_col).alias("_h"))
     joined = t.join(r, list(keys), "inner")
+    if ordered:  # before the distances, which a sort's sampling would compute a second time
+        joined = joined.orderBy(*keys)
     edits = edit_distance("_t", "_h")
     scored = joined.select(
         *keys, *extra_cols,

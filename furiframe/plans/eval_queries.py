@@ -55,7 +55,7 @@ def recognized_runs(truth: DataFrame) -> DataFrame:
 
 def q_eval_cer(spark, sf_dir):
     truth = truth_segments(spark, sf_dir)
-    return ev.score_pairs(truth, recognized_single(truth), KEYS).orderBy(*KEYS)
+    return ev.score_pairs(truth, recognized_single(truth), KEYS, ordered=True)
 
 
 def _scores(spark, sf_dir):

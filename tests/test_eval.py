@@ -100,3 +100,31 @@ def test_edit_distance_shortcuts_are_exact(spark):
     df = spark.createDataFrame(rows, "a string, b string")
     got = df.select(edit_distance("a", "b").alias("d"), F.levenshtein("a", "b").alias("e")).collect()
     assert all(r["d"] == r["e"] for r in got)
+
+
+def _table_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_bit_parallel_distances_match_the_table():
+    import random
+
+    from furiframe.functions.metrics import bit_parallel_distance, distances
+
+    rng = random.Random(7)
+    pairs = [("", ""), ("", "a"), ("日本語", "日木語"), ("a" * 64, "a" * 63 + "b"), ("ab" * 32, "ba" * 32)]
+    for n in (1, 5, 63, 64, 65, 127, 128, 130, 200):
+        for _ in range(30):
+            letters = rng.choice(["ab", "abcdé🙂京", "abcdefghijklmnop"])
+            a = "".join(rng.choice(letters) for _ in range(n))
+            pairs.append((a, "".join(rng.choice(letters) if rng.random() < .3 else c for c in a if rng.random() < .9)))
+    want = [_table_distance(a, b) for a, b in pairs]
+    assert [bit_parallel_distance(a, b) for a, b in pairs] == want
+    assert distances([a for a, _ in pairs] + [None, "x"], [b for _, b in pairs] + ["x", None]) == want + [None, None]
+    assert distances([a for a, _ in pairs], [b for _, b in pairs], words=1, pairs=7) == want
