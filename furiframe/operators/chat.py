@@ -13,9 +13,8 @@ PROMPT_LINE = "User: %s\nAssistant: %s"
 
 
 def render_turn(role, text, start: str = START_OF_TURN, end: str = END_OF_TURN) -> Column:
-    """``<start>role\\ntext<end>\\n`` for one turn."""
-    r = F.col(role) if isinstance(role, str) else role
-    t = F.col(text) if isinstance(text, str) else text
+    """``<start>role\\ntext<end>\\n`` for one turn; a null role or text counts as empty."""
+    r, t = (F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")) for c in (role, text))
     return F.concat(F.lit(start), r, F.lit("\n"), t, F.lit(end), F.lit("\n"))
 
 

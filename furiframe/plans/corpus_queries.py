@@ -6,6 +6,8 @@ plays the landed corpus (delimiter '.', since it holds no Japanese text).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from furiframe.operators import evaluate as ev
 from furiframe.operators import segment as seg
 from furiframe.plans import sqltext as S
 from furiframe.plans.tables import table
+from furiframe.session import ensure_checkpoint_dir
+from furiframe.streaming.segments import stream_segments
 
 DELIM = "."
 
@@ -32,6 +36,17 @@ def q_segment_sentences(spark, sf_dir):
     return seg.segment_sentences(corpus(spark, sf_dir), "doc_id", "text", DELIM, max_chars=T.SEGMENT_MAX_CHARS)
 
 
+def q_stream_segments(spark, sf_dir):
+    """The documents as a file stream, read to its end; the segment table it wrote, under the shared checkpoint folder."""
+    source = f"{sf_dir}/documents.parquet"
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    schema = spark.read.parquet(source).select("doc_id", "text").schema
+    # The star also matches a table of one file; a stream reads folders or patterns.
+    query = stream_segments(spark, source + "*", schema, f"{out}/segments", f"{out}/progress", "doc_id", "text", DELIM)
+    query.awaitTermination()
+    return spark.read.parquet(f"{out}/segments").select("doc_id", "seq", "text")
+
+
 def q_segment_summary(spark, sf_dir):
     return seg.segment_summary(corpus(spark, sf_dir), "text", DELIM)
 
@@ -105,6 +120,7 @@ QUERIES = {
     "corpus_scan": q_corpus_scan,
     "charset_filter": q_charset_filter,
     "segment_sentences": q_segment_sentences,
+    "stream_segments": q_stream_segments,
     "segment_summary": q_segment_summary,
     "char_budget": q_char_budget,
     "fallback_key": q_fallback_key,
@@ -127,6 +143,7 @@ _PIECES = f"""
 """
 
 ORACLES = {
+    "stream_segments": f"SELECT doc_id, seq, text FROM ({S.segments(DELIM)})",
     "corpus_scan": "SELECT CAST(doc_id AS VARCHAR) AS id, text, CAST(length(text) AS BIGINT) AS n_chars FROM documents",
     "segment_sentences": S.segments(DELIM, max_chars=100),
     "segment_summary": f"""

@@ -298,7 +298,7 @@ ORACLES = {
     "build_conversation_sys": _conv_sql(dataset.OCR_SYSTEM_MESSAGE, _PAIRS),
     "chat_render": """
         SELECT conv_id, count(*) AS n_turns,
-               string_agg('<start_of_turn>' || role || chr(10) || text || '<end_of_turn>' || chr(10), '' ORDER BY turn)
+               string_agg('<start_of_turn>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<end_of_turn>' || chr(10), '' ORDER BY turn)
                  AS rendered
         FROM conversations GROUP BY conv_id""",
     "prompt_lines": """

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,9 +27,23 @@ def write_jsonl(df: DataFrame, path: str, cols: Sequence[str] = ("messages",), m
     df.select(F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value")).write.mode(mode).text(path)
 
 
-def write_runs(transcripts: DataFrame, path: str, mode: str = "append") -> None:
+RUN_COLS = ("model", "temperature", "run_ts")
+
+
+def write_runs(transcripts: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Recognition output partitioned by run: ``model / temperature / run_ts``.
 
-    Readers prune runs by partition filters instead of guessing folder names.
+    A run that is written again replaces its own partition and no other
+    (dynamic partition overwrite), so a retry leaves no row twice.
     """
-    transcripts.write.mode(mode).partitionBy("model", "temperature", "run_ts").parquet(path)
+    transcripts.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*RUN_COLS).parquet(path)
+
+
+def read_run(spark: SparkSession, path: str, **run) -> DataFrame:
+    """Rows of the runs with these values of ``RUN_COLS``; other runs' folders are not read (partition filters)."""
+    df = spark.read.parquet(path)
+    for c, v in run.items():
+        if c not in RUN_COLS:
+            raise ValueError(f"not a run column: {c}")
+        df = df.where(F.col(c) == F.lit(v))
+    return df

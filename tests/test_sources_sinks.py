@@ -66,6 +66,13 @@ def test_run_partitioned_output(spark):
     sinks.write_runs(df, out, mode="overwrite")
     back = spark.read.parquet(out).where((F.col("model") == "vlm:12b") & (F.col("temperature") == 0.1))
     assert [(r["name"], r["text"]) for r in back.collect()] == [("a.md", "x")]
+    sinks.write_runs(df.where("temperature = 0.1").withColumn("text", F.lit("again")), out)  # a rerun replaces its run only
+    assert sorted((r["temperature"], r["text"]) for r in spark.read.parquet(out).collect()) == [(0.1, "again"), (0.8, "y")]
+    one = sinks.read_run(spark, out, model="other", temperature=0.8)
+    assert [r["text"] for r in one.collect()] == ["y"]
+    assert "PartitionFilters: [isnotnull(model" in one._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        sinks.read_run(spark, out, name="a.md")
     sinks.write_table(df.select("name", "text"), out + "_tbl")
     assert spark.read.parquet(out + "_tbl").count() == 2
 
