@@ -80,6 +80,11 @@ def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
     return near.orderBy(place, key).limit(rows)
 
 
+def one_text_each(df: DataFrame, *keys: str) -> DataFrame:
+    """``keys..., _ff_text`` with one row a key, the smallest text of rows that repeat it: a sample of keys bounds the rows."""
+    return df.groupBy(*keys).agg(F.min("_ff_text").alias("_ff_text"))
+
+
 def ranked(df: DataFrame, group: str, order: Sequence[str], out: str) -> DataFrame:
     """Add ``out``: the 0-based gapless position of each row inside its ``group``.
 

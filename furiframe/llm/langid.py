@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from furiframe.llm.common import bounded_sample, held_out, text_or_empty
+from furiframe.llm.common import bounded_sample, held_out, one_text_each, text_or_empty
 
 WINDOW = 256  # bytes; every text is cut into windows of this length, the last one padded with zeros
 WIDTHS = (2, 3, 4)
@@ -159,8 +159,8 @@ def fit_language_id(docs: DataFrame, fit_rows: int = 4000, windows_a_row: int =
                     found.append(one.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(found, pa.binary())], ["lang", "window"])
 
-    rows = (docs.select("doc_id", "lang", text_or_empty("text").alias("_ff_text")).where(F.col("_ff_text").rlike(r"\p{L}"))
-            .join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "_ff_text")
+    rows = (one_text_each(docs.select("doc_id", "lang", text_or_empty("text").alias("_ff_text")).where(F.col("_ff_text").rlike(r"\p{L}"))
+                          .join(F.broadcast(picked), ["doc_id", "lang"]), "doc_id", "lang").select("lang", "_ff_text")
             .mapInArrow(cut, "lang string, window binary").collect())
     if not rows:
         return None

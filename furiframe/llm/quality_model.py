@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from furiframe.llm.common import bounded_sample, text_or_empty
+from furiframe.llm.common import bounded_sample, one_text_each, text_or_empty
 from furiframe.llm.linear import fit_logistic, sigmoid
 
 # Byte classes. 0 other white space, 1 line feed, 2 lower case and bytes over 127, 3 upper
@@ -150,7 +150,7 @@ def fit_quality(docs: DataFrame, fit_rows: int = 6000) -> QualityModel:
                 pa.array([v for _, _, v in found], pa.list_(pa.float32()))], ["pattern", "at", "value"])
 
     picked = bounded_sample(docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct(), F.col("doc_id"), fit_rows)
-    sample = (docs.select("doc_id", text_or_empty("text").alias("_ff_text")).join(F.broadcast(picked), "doc_id")
+    sample = (one_text_each(docs.select("doc_id", text_or_empty("text").alias("_ff_text")).join(F.broadcast(picked), "doc_id"), "doc_id")
               .select("_ff_text").mapInArrow(features, "pattern int, at array<int>, value array<float>").collect())
     weights, bias = np.zeros(BUCKETS, np.float32), 2.0
     if sample:

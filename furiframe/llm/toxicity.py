@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from furiframe.llm.common import bounded_sample, frozen, held_out, text_or_empty
+from furiframe.llm.common import bounded_sample, frozen, held_out, one_text_each, text_or_empty
 from furiframe.llm.linear import fit_logistic, sigmoid
 
 # Common English insults, the seed of the lexicon voters.
@@ -103,7 +103,8 @@ def distinct_texts(rows: DataFrame) -> DataFrame:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 12000, max_tokens: int = 1024,
                  max_voters: int = 256) -> ToxicityModel:
-    """Fit on at most ``fit_rows`` labelled rows outside the held-out ids (a fixed hash sample).
+    """Fit on at most ``fit_rows`` labelled rows outside the held-out ids (a fixed hash sample;
+    of rows that repeat an id the one with the smallest text).
 
     Tokens over-represented in toxic rows (log odds with a z-score, counted in
     Spark) become lexicon voters, next to the seed insults and the patterns;
@@ -113,8 +114,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 12000, max_
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
              .groupBy("doc_id").agg(F.max("toxic").alias("_ff_toxic")))
     picked = bounded_sample(known, F.col("doc_id"), fit_rows)  # at most fit_rows rows: broadcast
-    rows = frozen(distinct_texts(
-        docs.select("doc_id", text_or_empty("text").alias("_ff_text")).join(F.broadcast(picked), "doc_id")))
+    rows = frozen(distinct_texts(one_text_each(
+        docs.select("doc_id", text_or_empty("text").alias("_ff_text")).join(F.broadcast(picked), "doc_id"), "doc_id", "_ff_toxic").select("doc_id", "_ff_text", "_ff_toxic")))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

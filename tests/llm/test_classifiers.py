@@ -111,3 +111,26 @@ def test_em_finds_the_accuracies_of_noisy_labellers():
     posterior, table = quality_model.fit_label_model(counts)
     q = np.array([posterior[p] for p in patterns.tolist()])
     assert ((q > 0.5) == good).mean() > 0.99 and np.abs(table[:, 0, 0] - miss).max() < 0.15
+
+
+def test_repeated_ids_do_not_grow_the_samples(spark, monkeypatch):
+    """One sampled id on 5,000 rows: no fit collects more rows than its bound (times windows)."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    most = []
+    collect = DataFrame.collect
+
+    def counted(self):
+        rows = collect(self)
+        most.append(len(rows))
+        return rows
+
+    base = spark.range(60).select((F.col("id") * 4).alias("doc_id"), F.concat(F.lit("some words here idiot number "), F.col("id").cast("string")).alias("text"))
+    again = spark.range(5000).select(F.lit(8).cast("long").alias("doc_id"), F.concat(F.lit("row "), F.col("id").cast("string"), F.lit(" of one id")).alias("text"))
+    docs = base.unionByName(again).withColumn("lang", F.lit("en")).withColumn("source", F.lit("s")).withColumn("n_chars", F.length("text").cast("long"))
+    labels = base.select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 8 == 0).cast("int").alias("toxic"))
+    monkeypatch.setattr(DataFrame, "collect", counted)
+    toxicity.fit_toxicity(docs, labels, fit_rows=70, max_tokens=50)
+    langid.fit_language_id(docs, fit_rows=70, windows_a_row=2)
+    quality_model.fit_quality(docs, fit_rows=70)
+    assert max(most) < 5000
