@@ -40,9 +40,10 @@ def frozen(df: DataFrame) -> DataFrame:
 
 def text_batches(spark: SparkSession, rows: int = 1000) -> None:
     """For the queries and the pipeline: Arrow batches of at most ``rows`` texts, unless the session
-    has a setting of its own (the default of 10,000 whole texts is tens to hundreds of MB a task)."""
+    has a setting of its own, whatever it is (the default of 10,000 whole texts is tens to hundreds of MB
+    a task). The operators read no such setting; it stays set for the session's later queries."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
+    if key not in spark.conf.getAll:
         spark.conf.set(key, str(rows))
 
 

@@ -40,7 +40,9 @@ class WordTokenizer:
     Ids are looked up run by run (a run: characters between white space).
     A new run of plain characters is split here and its parts go straight to
     the tokenizer's merge model, each part once; any other run goes through
-    the whole tokenizer. Caches of runs and parts are emptied when large.
+    the whole tokenizer. Texts that hold the string of a special token go
+    through it whole, as it cuts them there. Caches of runs and parts are
+    emptied when large.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -48,14 +50,16 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         steps = json.loads(tokenizer_json)
+        if any(t["normalized"] for t in steps["added_tokens"]):
+            raise ValueError("added tokens must be matched in the text as it is")
         kinds = [n["type"] for n in steps["normalizer"]["normalizers"]]
         split, level = steps["pre_tokenizer"]["pretokenizers"]
         if kinds != ["NFC", "Replace", "Lowercase"] or level["type"] != "ByteLevel" or level["add_prefix_space"]:
             raise ValueError("this tokenizer does not work by words")
         self.parts_of = regex.compile(split["pattern"]["Regex"]).findall
         self.merge = self.tokenizer.model.tokenize
+        self.whole = "|".join(["[\x1c-\x1f]", *(re.escape(t["content"]) for t in steps["added_tokens"])])
         self.letters = _byte_alphabet()
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.runs: dict[str, bytes] = {}
@@ -104,8 +108,8 @@ class WordTokenizer:
         in_doc = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]).astype(np.int64)
         cut = np.concatenate([[0], ends])[in_doc].tolist()
         out = [tokens[a:b] for a, b in zip(cut, cut[1:])]
-        # Arrow's white space has four characters more than the tokenizer's: such texts go whole.
-        odd = pc.match_substring_regex(texts, "[\x1c-\x1f]").to_numpy(zero_copy_only=False)
+        # Arrow's white space has four characters more than the tokenizer's: such texts go whole, as do special tokens.
+        odd = pc.match_substring_regex(texts, self.whole).to_numpy(zero_copy_only=False)
         for i in np.flatnonzero(odd).tolist():
             out[i] = np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids)
         return out

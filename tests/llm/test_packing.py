@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from furiframe.llm.common import text_batches
 from furiframe.llm.packing import best_fit_rounds, pack_documents
 
 from .edge import edge_docs, edge_texts, empty_docs
@@ -16,7 +17,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 def check(rows, source, capacity):
     """Pieces against the tokenizer on whole texts, and every sequence gapless and within the capacity."""
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     want = defaultdict(int)
     total = 0
     for i, t in source:
@@ -92,5 +92,27 @@ def test_small_capacity_and_one_hot_length(spark):
     assert n <= total / 16 * 1.02 + 1
 
 
+def test_strings_of_special_tokens_are_cut_as_the_library_cuts_them(spark):
+    texts = ["see <|endoftext|> here", "<|startoftext|>", "a<|endoftext|>b <|ENDOFTEXT|> <|endoftext|", "x\n <|startoftext|>\t\ty <|endoftext|><|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pack_documents(docs, PATH, 2048).collect()
+    check(rows, list(enumerate(texts)), 2048)
+    assert {r.doc_id: r.length for r in rows}[0] == 4
+
+
+def test_an_explicit_batch_setting_stays(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.getAll.get(key)
+    try:
+        spark.conf.set(key, "10000")
+        text_batches(spark)
+        assert spark.conf.get(key) == "10000"
+        spark.conf.unset(key)
+        text_batches(spark)
+        assert spark.conf.get(key) == "1000"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def test_empty_table(spark):
     assert pack_documents(empty_docs(spark), PATH).collect() == []
