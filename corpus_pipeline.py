@@ -7,10 +7,10 @@ all but the last return the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furiframe.llm.common import ASCII_SPACE, frozen, text_batches, text_or_empty
+from furiframe.llm.common import frozen, text_batches, text_or_empty
 from furiframe.llm.langid import UNDETERMINED, fit_language_id, known_script, language_column
 from furiframe.llm.line_dedup import dedup_lines
 from furiframe.llm.packing import pack_documents
@@ -45,19 +45,15 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in at least 10 documents go everywhere (operator 3); n_chars follows the text.
+    """Lines found in at least 10 documents stay at their first place by (doc_id, line) alone (operator 3); n_chars follows the text.
 
-    A document that would lose more than half of its characters (white space
-    aside) is a copy rather than a text with common lines in it: it stays
-    whole, and near-dedup leaves one of its group.
+    Of a text in ten or more copies the first keeps its lines and the others
+    are left with the lines that are their own, none for exact copies: those
+    become empty texts, of which near-dedup leaves one.
     """
     text_batches(spark)
-    out = dedup_lines(docs, min_docs=10, min_chars=1, keep="none")
-
-    def size(text: Column) -> Column:
-        return F.length(F.translate(text_or_empty(text), ASCII_SPACE, ""))
-
-    cut = (F.col("n_dropped") > 0) & (2 * size(F.col("text")) >= size(F.col("row.text")))
+    out = dedup_lines(docs, min_docs=10, min_chars=1, keep="first")
+    cut = F.col("n_dropped") > 0
     new = {"text": F.when(cut, F.col("text")).otherwise(F.col("row.text")),
            "n_chars": F.when(cut, F.length("text").cast("long")).otherwise(F.col("row")["n_chars"])
            if "n_chars" in docs.columns else None}

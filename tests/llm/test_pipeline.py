@@ -46,7 +46,7 @@ def test_filters_only_drop_rows_and_keep_good_ones(spark, steps):
 
 def test_line_dedup_near_dedup_and_packing(steps):
     _, _, good, lines, near, packed = steps
-    assert sorted((str(i), t) for i, t in texts(lines)) == [(i, t) for i, t, _, _ in brute_lines(texts(good), 10)]
+    assert sorted((str(i), t) for i, t in texts(lines)) == [(i, t) for i, t, _, _ in brute_lines(texts(good), 10, keep="first")]
     assert all(r.n_chars == len(r.text) for r in lines.collect())
     groups = defaultdict(list)
     for i, root in brute_components({i: fingerprint(t, 3) for i, t in texts(lines)}, 3).items():
@@ -84,12 +84,16 @@ def test_copied_texts_outlive_line_dedup(spark):
     copy, own = "\n".join(lines), " ".join(f"word{i}" for i in range(40))
     near = ["\n".join([*lines[:k], f"changed in copy {k}", *lines[k + 1:]]) for k in range(12)]
     rows = [(i, copy) for i in range(12)] + [(100 + i, t) for i, t in enumerate(near)]
-    rows += [(200 + i, f"All rights reserved\n{own} {i}") for i in range(12)]
+    rows += [(200 + i, f"All rights reserved\n{own} {i}") for i in range(12)] + [(300 + i, f"Nothing but boilerplate\n{i % 2}") for i in range(10)]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     out = corpus_pipeline.line_dedup(spark, docs, SF)
-    assert texts(out) == [(i, t) for i, t in rows[:24]] + [(200 + i, f"{own} {i}") for i in range(12)]
+    want = {i: "" for i in range(12)} | {100 + i: f"changed in copy {i}" for i in range(12)}
+    want |= {200 + i: f"{own} {i}" for i in range(12)} | {300 + i: str(i % 2) for i in range(10)}
+    want |= {0: copy, 200: rows[24][1], 300: rows[36][1]}
+    assert dict(texts(out)) == want
     assert all(r.n_chars == len(r.text) for r in out.collect())
-    assert [t for _, t in texts(corpus_pipeline.near_dedup(spark, out, SF))].count(copy) == 1
+    kept = [t for _, t in texts(corpus_pipeline.near_dedup(spark, out, SF))]
+    assert kept.count(copy) == 1 and kept.count("") == 1
 
 
 def test_texts_in_no_learnt_language_go_and_those_in_two_stay(spark):
