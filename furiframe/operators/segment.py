@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from furiframe.functions.text import (
@@ -47,11 +47,11 @@ def segment_sentences(corpus: DataFrame, id_col: str = "id", text_col: str = "te
     many code points (so a long sentence loses its suffix and one already
     ending in it may carry it twice). One narrow Generate: no shuffle, no window.
     """
-    suffix = delimiter if suffix is None else suffix
-    exploded = corpus.select(
-        F.col(id_col),
-        F.posexplode(sentence_pieces(text_col, delimiter)).alias("seq", "_piece"),
-    )
+    return _segments(corpus, id_col, sentence_pieces(text_col, delimiter), delimiter if suffix is None else suffix, max_chars)
+
+
+def _segments(corpus: DataFrame, id_col: str, pieces: Column, suffix: str, max_chars: int | None) -> DataFrame:
+    exploded = corpus.select(F.col(id_col), F.posexplode(pieces).alias("seq", "_piece"))
     whole = F.concat(F.col("_piece"), F.lit(suffix))
     return exploded.select(
         F.col(id_col),
@@ -72,6 +72,24 @@ def segment_summary(corpus: DataFrame, text_col: str = "text",
     )
 
 
+def write_segments(corpus: DataFrame, path: str, id_col: str = "id", text_col: str = "text",
+                   delimiter: str = SENTENCE_DELIMITER, max_chars: int | None = None) -> dict[str, int]:
+    """Write the segments of ``corpus`` to ``path`` and return the counts of ``segment_summary``, in the writing pass.
+
+    The counts are observed where the documents enter the explode, so the
+    corpus is read once; the write has no shuffle, so a task that runs again
+    is counted once.
+    """
+    seen = Observation("segments")
+    pieces = sentence_pieces(text_col, delimiter)
+    n = F.size("_ff_pieces")
+    observed = corpus.select(id_col, pieces.alias("_ff_pieces")).observe(
+        seen, F.count(F.lit(1)).alias("processed"), F.count_if(n > 0).alias("with_segments"),
+        F.count_if(n == 0).alias("skipped"), F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("segments"))
+    _segments(observed, id_col, F.col("_ff_pieces"), delimiter, max_chars).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
 def fallback_ids(corpus: DataFrame, id_col: str = "id", ordinal_col: str = "ordinal",
                  out_col: str = "entry_id") -> DataFrame:
     """Missing ids become ``unknown_id_<ordinal>`` (1-based source position)."""

@@ -51,6 +51,14 @@ def q_segment_summary(spark, sf_dir):
     return seg.segment_summary(corpus(spark, sf_dir), "text", DELIM)
 
 
+def q_segment_write_counts(spark, sf_dir):
+    """The counts that the job writing the segment table (under the shared checkpoint folder) observed."""
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/segments-{uuid.uuid4().hex}"
+    counts = seg.write_segments(corpus(spark, sf_dir), out, "doc_id", "text", DELIM)
+    written = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("written"))
+    return written.select(*[F.lit(n).cast("long").alias(c) for c, n in counts.items()], "written")
+
+
 def q_char_budget(spark, sf_dir):
     return seg.char_budget(corpus(spark, sf_dir), "doc_id", "text", DELIM)
 
@@ -122,6 +130,7 @@ QUERIES = {
     "segment_sentences": q_segment_sentences,
     "stream_segments": q_stream_segments,
     "segment_summary": q_segment_summary,
+    "segment_write_counts": q_segment_write_counts,
     "char_budget": q_char_budget,
     "fallback_key": q_fallback_key,
     "slice_key": q_slice_key,
@@ -142,18 +151,21 @@ _PIECES = f"""
         FROM documents)
 """
 
-ORACLES = {
-    "stream_segments": f"SELECT doc_id, seq, text FROM ({S.segments(DELIM)})",
-    "corpus_scan": "SELECT CAST(doc_id AS VARCHAR) AS id, text, CAST(length(text) AS BIGINT) AS n_chars FROM documents",
-    "segment_sentences": S.segments(DELIM, max_chars=100),
-    "segment_summary": f"""
+_SUMMARY = f"""
         WITH n AS (
           SELECT d.doc_id, count(p.s) AS n
           FROM documents d LEFT JOIN ({_PIECES}) p ON p.doc_id = d.doc_id AND length(p.s) > 0
           GROUP BY d.doc_id)
         SELECT count(*) AS processed, count(*) FILTER (WHERE n > 0) AS with_segments,
                count(*) FILTER (WHERE n = 0) AS skipped, CAST(coalesce(sum(n), 0) AS BIGINT) AS segments
-        FROM n""",
+        FROM n"""
+
+ORACLES = {
+    "segment_write_counts": f"SELECT *, segments AS written FROM ({_SUMMARY})",
+    "stream_segments": f"SELECT doc_id, seq, text FROM ({S.segments(DELIM)})",
+    "corpus_scan": "SELECT CAST(doc_id AS VARCHAR) AS id, text, CAST(length(text) AS BIGINT) AS n_chars FROM documents",
+    "segment_sentences": S.segments(DELIM, max_chars=100),
+    "segment_summary": _SUMMARY,
     "char_budget": f"""
         SELECT doc_id, pos, phrase, n_chars, cum_chars FROM (
           SELECT doc_id,

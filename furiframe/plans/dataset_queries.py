@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from furiframe.functions import arrays as A
-from furiframe.operators import chat, clean, dataset, sequences
+from furiframe.operators import chat, clean, dataset, messages, sequences
 from furiframe.operators.segment import budget_text
 from furiframe.plans import sqltext as S
 from furiframe.plans.tables import table
@@ -109,6 +109,30 @@ def q_build_conversation_sys(spark, sf_dir):
     return conv.select("stem", dataset.messages_json(conv).alias("record"))
 
 
+def _damaged_records(spark, sf_dir):
+    """A JSON Lines record for every document, damaged where the first hex digit of its id's hash is under 6."""
+    docs = table(spark, sf_dir, "documents")
+    pairs = docs.select("doc_id", F.concat(F.lit("cropped/"), F.col("doc_id").cast("string"), F.lit(".png")).alias("image_path"),
+                        F.col("text").alias("gt_answer"))
+    conv = dataset.build_conversation(pairs)
+    record, digit = dataset.messages_json(conv), F.substr(F.md5(F.col("doc_id").cast("string")), F.lit(1), F.lit(1))
+    broken = (F.when(digit == "0", F.substr("r", F.lit(1), F.floor(F.length("r") / 2).cast("int")))
+              .when(digit == "1", F.lit(" "))
+              .when(digit == "2", F.lit('{"image": 1}'))
+              .when(digit == "3", F.lit('{"messages": []}'))
+              .when(digit == "4", F.replace("r", F.lit('{"messages":['), F.lit('{"messages":7,"rest":[')))
+              .when(digit == "5", F.replace("r", F.lit('"role":"assistant",'), F.lit("")))
+              .otherwise(F.col("r")))
+    return conv.select("doc_id", record.alias("r")).select("doc_id", broken.alias("value"))
+
+
+def q_message_records(spark, sf_dir):
+    parsed = messages.parse_messages(_damaged_records(spark, sf_dir))
+    answer = F.element_at("messages", -1)["content"][0]["text"]
+    return parsed.select("doc_id", "problem", F.when(F.col("problem").isNull(), F.size("messages")).cast("long").alias("n_turns"),
+                         F.md5(answer).alias("answer_md5"))
+
+
 def q_chat_render(spark, sf_dir):
     return chat.chat_render(table(spark, sf_dir, "conversations"))
 
@@ -183,6 +207,7 @@ QUERIES = {
     "split_exact": q_split_exact,
     "build_conversation": q_build_conversation,
     "build_conversation_sys": q_build_conversation_sys,
+    "message_records": q_message_records,
     "chat_render": q_chat_render,
     "prompt_lines": q_prompt_lines,
     "pad_truncate": q_pad_truncate,
@@ -296,6 +321,13 @@ ORACLES = {
                       THEN 'test' ELSE 'train' END AS split FROM documents) GROUP BY split""",
     "build_conversation": _conv_sql(None, _PAIRS_WHOLE),
     "build_conversation_sys": _conv_sql(dataset.OCR_SYSTEM_MESSAGE, _PAIRS),
+    "message_records": """
+        SELECT doc_id, problem, CASE WHEN problem IS NULL THEN 2::BIGINT END AS n_turns,
+               CASE WHEN problem IS NULL THEN md5(text) END AS answer_md5
+        FROM (SELECT doc_id, text, CASE substr(md5(CAST(doc_id AS VARCHAR)), 1, 1)
+                WHEN '0' THEN 'damaged record' WHEN '1' THEN 'empty line' WHEN '2' THEN 'no messages'
+                WHEN '3' THEN 'no turns' WHEN '4' THEN 'damaged record' WHEN '5' THEN 'turn without role or content'
+              END AS problem FROM documents)""",
     "chat_render": """
         SELECT conv_id, count(*) AS n_turns,
                string_agg('<start_of_turn>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<end_of_turn>' || chr(10), '' ORDER BY turn)

@@ -80,6 +80,33 @@ def q_image_rgb(spark, sf_dir):
     return rgb.select(_doc_id(), F.octet_length("rgb").cast("long").alias("n_bytes"), F.md5("rgb").alias("rgb_md5"), "error")
 
 
+def _damaged_pngs(spark, sf_dir):
+    """The cropped pages as PNG bytes, damaged where the first hex digit of the id's hash is under 7.
+
+    An image starts with 8 bytes of signature and 25 of IHDR, and ends with 12 of IEND.
+    """
+    crops = I.crop_images(page_images(spark, sf_dir)).select(_doc_id(), F.coalesce("png", F.lit(b"")).alias("png"))
+    digit = F.substr(F.md5(F.col("doc_id").cast("string")), F.lit(1), F.lit(1))
+    size = F.octet_length("png")
+
+    def cut(start, n):
+        return F.substr("png", F.lit(start), n if not isinstance(n, int) else F.lit(n))
+
+    broken = (F.when((digit == "0") | (size == 0), F.lit(b""))
+              .when(digit == "1", cut(2, size - 1))
+              .when(digit == "2", cut(1, size - 13))
+              .when(digit == "3", cut(1, size - 12))
+              .when(digit == "4", F.concat(cut(1, 8), cut(34, size - 33)))
+              .when(digit == "5", F.concat(cut(1, 33), cut(-12, 12)))
+              .when(digit == "6", F.concat(cut(1, 24), F.lit(b"\x09"), cut(26, size - 25)))
+              .otherwise(F.col("png")))
+    return crops.select("doc_id", broken.alias("content"))
+
+
+def q_png_problems(spark, sf_dir):
+    return _damaged_pngs(spark, sf_dir).select("doc_id", I.png_check("content").alias("problem"))
+
+
 def q_base64_text(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", I.base64_text(F.encode("text", "UTF-8")).alias("b64"))
@@ -96,6 +123,7 @@ QUERIES = {
     "image_crop": q_image_crop,
     "image_rgb": q_image_rgb,
     "image_summary": q_image_summary,
+    "png_problems": q_png_problems,
     "base64_text": q_base64_text,
     "image_payload": q_image_payload,
 }
@@ -159,6 +187,13 @@ ORACLES = {
         SELECT b.doc_id, CAST((width + 20) * height * 3 AS BIGINT) AS n_bytes,
                md5(unhex(string_agg(px || repeat('FFFFFF', 20), '' ORDER BY y))) AS rgb_md5, CAST(NULL AS VARCHAR) AS error
         FROM ({_BOX}) b JOIN ({_GRID}) g ON g.doc_id = b.doc_id GROUP BY b.doc_id, width, height""",
+    "png_problems": f"""
+        SELECT doc_id, CASE WHEN status = 'blank' THEN 'zero-size file' ELSE
+          CASE substr(md5(CAST(doc_id AS VARCHAR)), 1, 1)
+            WHEN '0' THEN 'zero-size file' WHEN '1' THEN 'not a PNG signature' WHEN '2' THEN 'truncated chunk'
+            WHEN '3' THEN 'missing IEND' WHEN '4' THEN 'IHDR is not the first chunk' WHEN '5' THEN 'no image data'
+            WHEN '6' THEN 'bad CRC in IHDR' END END AS problem
+        FROM ({_CLAMPED})""",
     "base64_text": "SELECT doc_id, to_base64(encode(text)) AS b64 FROM documents",
     "image_summary": f"""
         SELECT count(*) AS processed, count(*) FILTER (WHERE status = 'cropped') AS cropped,
