@@ -15,6 +15,7 @@ from furiframe.operators import chat, clean, dataset, messages, sequences
 from furiframe.operators.segment import budget_text
 from furiframe.plans import sqltext as S
 from furiframe.plans.tables import table
+from furiframe.session import cut_lineage
 
 DELIM = "."
 
@@ -183,7 +184,8 @@ def q_argmax(spark, sf_dir):
 def _vocab(spark, sf_dir):
     bench = table(spark, sf_dir, "benchmark")
     pieces = bench.select(F.explode(F.split("text", " ")).alias("piece"))
-    return sequences.build_vocab(pieces, "piece")
+    # Encoding and decoding join it: built once and frozen.
+    return cut_lineage(sequences.build_vocab(pieces, "piece"))
 
 
 def q_decode_ids(spark, sf_dir):

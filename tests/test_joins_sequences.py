@@ -64,3 +64,13 @@ def test_collate_pads_to_longest_in_batch(spark):
     assert got[(1, 1)] == ([8, 0, 0], [1, 0, 0], [8, -100, -100])
     # a real id equal to the pad value is masked too (by value, as the reference does)
     assert got[(2, 0)] == ([9, 0], [1, 1], [9, -100])
+
+
+def test_the_vocabulary_is_built_once(spark):
+    import __spark_entry__ as E
+
+    from .conftest import SF001
+
+    plan = E.queries()["decode_ids"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    # Encoding and the list of rows read the table; the vocabulary is frozen.
+    assert plan.count("FileScan") == 2
