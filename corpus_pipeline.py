@@ -26,7 +26,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model was trained on, or without a language of some probability (operator 8).
 
     Where no row can train a model (no language outside the held-out ids),
-    only documents without a letter go.
+    only documents without a letter go. Null and empty texts hold no letter and
+    go; a null or repeated id is judged row by row, equal texts alike, long
+    texts over all their windows; an empty table gives an empty one.
     """
     text_batches(spark)
     model = fit_language_id(docs)
@@ -38,7 +40,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that are likelier bad than good (operator 9)."""
+    """Rejects documents that are likelier bad than good (operator 9); a score of exactly ``MIN_QUALITY`` stays.
+
+    A null text is scored as an empty one; every row has a score, whatever its
+    id, equal texts the same, long texts whole. An empty table gives an empty one.
+    """
     text_batches(spark)
     scored = docs.withColumns({"_ff_q": quality_column(F.col("text"), fit_quality(docs))})
     return scored.where(F.col("_ff_q") >= MIN_QUALITY).drop("_ff_q")
@@ -49,7 +55,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of a text in ten or more copies the first keeps its lines and the others
     are left with the lines that are their own, none for exact copies: those
-    become empty texts, of which near-dedup leaves one.
+    become empty texts, of which near-dedup leaves one. Null texts lose no
+    line and stay null; every row counts as a document, also with a null or
+    repeated id (rows alike in id and text keep the line alike); an empty
+    table gives an empty one.
     """
     text_batches(spark)
     out = dedup_lines(docs, min_docs=10, min_chars=1, keep="first")
@@ -61,13 +70,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group the document with the smallest id stays (operator 6)."""
+    """Of each SimHash group the document with the smallest id stays (operator 6).
+
+    Texts without a word (null, empty, white space) have fingerprint zero and
+    are one group; rows alike in id (null ids among them) and text are one
+    document, of which one row stays. An empty table gives an empty one.
+    """
     text_batches(spark)
     return keep_one(docs, shingle=3, bits=3)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 2048 tokens (operator 4)."""
+    """Sequences of 2048 tokens (operator 4): one row a piece, long texts in pieces.
+
+    A null or empty text is its end id alone; rows with a null or repeated id
+    are packed each on its own. An empty table gives no piece.
+    """
     text_batches(spark)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
 

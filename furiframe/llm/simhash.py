@@ -277,7 +277,11 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 3) -> DataFrame:
-    """The rows of ``docs``, whole, that :func:`simhash_dedup` keeps: one of each group, equal rows once."""
+    """The rows of ``docs``, whole, that :func:`simhash_dedup` keeps: one of each group.
+
+    Rows alike in id (null ids among them) and text are one document: one row
+    of them stays, any one if they differ in other columns.
+    """
     kept = (simhash_dedup(docs, id_col, text_col, shingle, bits).where("kept")
             .select(F.col("doc_id").alias("_ff_id"), F.col("text_hash").alias("_ff_kept")).distinct())
     rows = docs.withColumns({"_ff_hash": F.xxhash64(text_or_empty(text_col))})
