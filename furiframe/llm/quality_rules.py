@@ -63,35 +63,40 @@ def rule_failures(rows: DataFrame) -> DataFrame:
 RULES = ("_ff_short", "_ff_repeat", "_ff_symbol", "_ff_lines")
 
 
-def rejected_hosts(rows: DataFrame, limit: float) -> DataFrame:
-    """Hosts for which, on some rule, the shrunk failure rate is surely above ``limit``.
-
-    For each rule the hosts' rates have a beta prior fitted by moments: mean m
-    over hosts and strength s from the spread beyond what sampling explains.
-    A host with k failures in n rows has the posterior mean (k + m s) / (n + s);
-    two posterior standard deviations below it must still exceed ``limit``.
+def rejected_hosts(rows: DataFrame, limit: float, floor: float, multiple: float, prior_rows: float) -> DataFrame:
+    """Hosts for which, on some rule, the shrunk failure rate is surely out of line with the other hosts'.
+
+    For each rule the rates of the other hosts give a host's beta prior, by
+    moments: mean m and strength s from the spread beyond what sampling
+    explains (s is 1 to ``prior_rows``: hosts that are all alike must not hide
+    one that is not). A host with k failures in n rows has the posterior mean
+    (k + m s) / (n + s); two posterior standard deviations below it must still
+    exceed ``multiple`` times m, but ``floor`` at least, and ``limit`` is
+    always enough. A host without others has its own rate as m.
     """
     hosts = (rows.where(F.col("_ff_host").isNotNull()).groupBy("_ff_host")
-             .agg(F.count(F.lit(1)).alias("_ff_n"), *[F.sum(r).alias(r) for r in RULES]))
-    rates = [(F.col(r) / F.col("_ff_n")) for r in RULES]
-    prior = hosts.agg(F.avg(1 / F.col("_ff_n")).alias("_ff_inv"),
-                      *[F.avg(p).alias(f"{r}_m") for r, p in zip(RULES, rates)],
-                      *[F.var_pop(p).alias(f"{r}_v") for r, p in zip(RULES, rates)]).withColumn("_ff_one", F.lit(1))
-    # One row: a proven bound.
-    both = hosts.withColumn("_ff_one", F.lit(1)).join(F.broadcast(prior), "_ff_one")
-    bad = F.lit(False)
-    for r in RULES:
-        m, v = F.col(f"{r}_m"), F.col(f"{r}_v")
-        spread = m * (1 - m)
-        own = F.greatest(v - spread * F.col("_ff_inv"), F.lit(1e-6))
-        s = F.greatest(spread / own - 1, F.lit(1.0))
-        mean = (F.col(r) + m * s) / (F.col("_ff_n") + s)
-        bad = bad | (mean - 2 * F.sqrt(mean * (1 - mean) / (F.col("_ff_n") + s + 1)) > limit)
-    return both.where(bad).select("_ff_host", F.lit(True).alias("_ff_bad"))
+             .agg(F.count(F.lit(1)).alias("n"), *[F.sum(r).alias(r) for r in RULES])
+             .select("_ff_host", "n", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("k")) for r in RULES])).alias("r"))
+             .select("_ff_host", "n", "r.rule", "r.k", (F.col("r.k") / F.col("n")).alias("p")))
+    sums = hosts.groupBy("rule").agg(F.count(F.lit(1)).alias("hosts"), F.sum(1 / F.col("n")).alias("inv"),
+                                     F.sum("p").alias("p1"), F.sum(F.col("p") * F.col("p")).alias("p2"))
+    n, p, m, s, mean = (F.col(c) for c in ("n", "p", "m", "s", "mean"))
+    others = F.greatest(F.col("hosts") - 1, F.lit(1))
+    # One row a rule: a proven bound.
+    prior = hosts.join(F.broadcast(sums), "rule").select(
+        "*", F.when(F.col("hosts") == 1, p).otherwise((F.col("p1") - p) / others).alias("near")).select(
+        "*", F.least(F.greatest("near", F.lit(0.0)), F.lit(1.0)).alias("m")).select(
+        "*", ((F.col("p2") - p * p) / others - m * m - m * (1 - m) * (F.col("inv") - 1 / n) / others).alias("own"))
+    shrunk = prior.select("*", F.least(F.greatest(m * (1 - m) / F.greatest("own", F.lit(1e-6)) - 1, F.lit(1.0)), F.lit(prior_rows)).alias("s")).select(
+        "*", F.least((F.col("k") + m * s) / (n + s), F.lit(1.0)).alias("mean"))
+    low = mean - 2 * F.sqrt(mean * (1 - mean) / (n + s + 1))
+    bad = shrunk.where(low > F.least(F.lit(limit), F.greatest(F.lit(floor), multiple * m)))
+    return bad.select("_ff_host", F.lit(True).alias("_ff_bad")).distinct()
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                  host_limit: float = 0.5) -> DataFrame:
+                  host_limit: float = 0.5, host_floor: float = 0.2, host_multiple: float = 3.0,
+                  prior_rows: float = 200.0) -> DataFrame:
     """Rule counts and verdict of every row: (doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, host_rejected, kept).
 
@@ -106,7 +111,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     host (with partial sums, so a hot host costs a row a task) and joined.
     """
     rows = frozen(rule_failures(rule_counts(docs, id_col, text_col, host_col)))
-    bad = frozen(rejected_hosts(rows, host_limit))
+    bad = frozen(rejected_hosts(rows, host_limit, host_floor, host_multiple, prior_rows))
     return rows.join(bad, "_ff_host", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         F.coalesce("_ff_bad", F.lit(False)).alias("host_rejected"),

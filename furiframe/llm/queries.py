@@ -58,7 +58,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(documents(spark, sf_dir), host_limit=0.5)
+    return quality_rules(documents(spark, sf_dir), host_limit=0.5, host_floor=0.2, host_multiple=3.0, prior_rows=200.0)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,16 +181,16 @@ WITH words AS (
   FROM counts WHERE source IS NOT NULL
 ), hosts AS (
   SELECT source, r, count(*) AS n, count(*) FILTER (f) AS k FROM rules GROUP BY ALL
+), others AS (
+  SELECT h.source, h.r, h.n, h.k, coalesce(avg(o.k / o.n), any_value(h.k / h.n)) AS m, avg(o.k * o.k / (o.n * o.n)) AS q, avg(1 / o.n) AS inv
+  FROM hosts h LEFT JOIN hosts o ON o.r = h.r AND o.source <> h.source GROUP BY ALL
 ), prior AS (
-  SELECT r, avg(k / n) AS m, avg(k / n) * (1 - avg(k / n)) AS spread,
-         greatest(var_pop(k / n) - avg(k / n) * (1 - avg(k / n)) * avg(1 / n), 1e-6) AS own
-  FROM hosts GROUP BY r
+  SELECT source, n, k, m, least(greatest(m * (1 - m) / greatest(coalesce(q - m * m - m * (1 - m) * inv, 0), 1e-6) - 1, 1.0), 200.0) AS s FROM others
 ), shrunk AS (
-  SELECT source, n, greatest(spread / own - 1, 1.0) AS s,
-         (k + m * greatest(spread / own - 1, 1.0)) / (n + greatest(spread / own - 1, 1.0)) AS mean
-  FROM hosts JOIN prior USING (r)
+  SELECT source, n, m, s, (k + m * s) / (n + s) AS mean FROM prior
 ), bad AS (
-  SELECT DISTINCT source FROM shrunk WHERE mean - 2 * sqrt(mean * (1 - mean) / (n + s + 1)) > 0.5
+  SELECT DISTINCT source FROM shrunk
+  WHERE mean - 2 * sqrt(mean * (1 - mean) / (n + s + 1)) > least(0.5, greatest(0.2, 3 * m))
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,

@@ -36,6 +36,25 @@ def test_a_bad_host_takes_its_good_rows_along_and_small_or_null_hosts_do_not(spa
     assert out[7001].kept and not out[7000].kept and out[8000].kept and not out[8001].kept
 
 
+def test_a_host_far_above_the_others_goes_under_one_half_and_an_even_corpus_stays(spark):
+    good, schema = " ".join(f"word{i}" for i in range(80)), "doc_id long, text string, source string"
+
+    def rows(host, n, failing, start):
+        return [(start + i, "too short" if i < failing else good, host) for i in range(n)]
+
+    def rejected(*hosts):
+        out = quality_rules(spark.createDataFrame([r for k, h in enumerate(hosts) for r in rows(*h, 10000 * k)], schema))
+        return {(r.doc_id // 10000) for r in out.where("host_rejected").collect()}
+
+    low = [(f"low{i}", 200, 10) for i in range(5)]  # 5 %
+    assert rejected(*low, ("high", 500, 200)) == {5}  # 40 %
+    assert rejected(*low, ("some", 500, 60)) == set()  # 12 %: below the floor
+    assert rejected(*low, ("few", 5, 2)) == set()  # 40 % of five rows
+    assert rejected(*[(f"h{i}", 300, 120) for i in range(6)]) == set()  # all hosts at 40 %
+    assert rejected(("a", 300, 15), ("b", 300, 120)) == {1}
+    assert rejected(("alone", 300, 120)) == set() and rejected(("alone", 300, 290)) == {0}
+
+
 def test_no_python_in_the_plan(spark, capsys):
     quality_rules(edge_docs(spark)).explain()
     assert "Python" not in capsys.readouterr().out
