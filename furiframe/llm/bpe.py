@@ -183,7 +183,9 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     become positions in a block's dictionary; the dictionaries' words are
     shuffled by hash, each distinct word of a hash part is encoded once for
     all blocks, and the ids go back to the blocks, where texts are put
-    together by position. Null or empty text has no ids. Null and repeated
+    together by position. A part's blocks are streamed past its table of
+    distinct words, so only that table grows with a part; more shuffle
+    partitions make it smaller. Null or empty text has no ids. Null and repeated
     ids are encoded row by row (in no certain order); an empty table gives
     an empty result; other columns are not read. The words are checkpointed,
     so a lost executor repeats no other step.
@@ -192,7 +194,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     id_type = docs.schema[id_col].dataType
     pieces = frozen(split_words(docs, pattern, parts, id_col, text_col))
 
-    def encode(group: pa.Table) -> pa.Table:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
         # A word is one match already: the pattern takes all of it.
@@ -206,13 +208,13 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
                     known[w] = coder.encode_ordinary(w.decode("utf-8", "surrogatepass"))
             return _pack_ids([known[w] for w in words])
 
-        data = []
-        for packed in group.column("data"):
-            named, codes, others, begin = _unpack_strings(packed.as_py())
-            data.append(_pack_strings([ids_of(named), codes, ids_of(others), begin]))
-        return pa.table({"block": group.column("block"), "data": pa.array(data, pa.binary())})
+        for b in batches:
+            for i in range(b.num_rows):  # one block's share at a time, never a part's whole
+                named, codes, others, begin = _unpack_strings(b.column(1)[i].as_py())
+                coded = _pack_strings([ids_of(named), codes, ids_of(others), begin])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), pa.array([coded], pa.binary())], ["block", "data"])
 
-    found = pieces.where("kind = 1").select("block", "part", "data").groupBy("part").applyInArrow(encode, "block long, data binary")
+    found = pieces.where("kind = 1").select("block", "data", "part").repartition(parts, "part").mapInArrow(encode, "block long, data binary")
 
     def join(texts: pa.Table, words: pa.Table) -> pa.Table:
         table = token_bytes(ranks).__getitem__ if decoded else None
