@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from furiframe.llm.common import bounded_sample, frozen, shuffle_partitions, text_or_empty
 
 SEED = 42
+HOT = 256
 _LOW, _HIGH = np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFF00000000)
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -245,7 +246,8 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     table gives an empty result; other columns are not read.
 
     Equal fingerprints are merged by a partial aggregate first, so a group of
-    exact copies costs one node.
+    exact copies costs one node; the components of the most frequent ones are
+    broadcast back to the rows, those of the others are joined by a shuffle.
     """
     id_type = docs.schema[id_col].dataType
 
@@ -263,14 +265,21 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   .mapInArrow(prints, schema))
     # The first row of a group: smallest id (null ids last), then smallest text hash.
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    nodes = frozen(rows.groupBy("node", "fp").agg(F.min(first).alias("first")))
+    nodes = frozen(rows.groupBy("node", "fp").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n")))
     parts = shuffle_partitions(docs.sparkSession)
     found = frozen(components(fingerprint_links(nodes.select("fp").repartition(parts, "fp"), bits)))
     linked = nodes.join(found, "node").select("node", "root", "first")
     lowest = linked.groupBy("root").agg(F.min("first").alias("_ff_first"))
     named = linked.join(lowest, "root").select("node", "_ff_first")
-    whole = nodes.join(named, "node", "left").select("node", F.coalesce("_ff_first", "first").alias("_ff_first"))
-    return rows.join(whole, "node").select(
+    whole = nodes.join(named, "node", "left").select("node", "n", F.coalesce("_ff_first", "first").alias("_ff_first"))
+    # Fingerprints of one row in HOT or more: at most HOT of them, a proven bound. Their rows don't shuffle.
+    whole = frozen(whole)
+    is_hot = F.col("n") * HOT >= rows.count()
+    hot, cold = (whole.where(c).select("node", "_ff_first") for c in (is_hot, ~is_hot))
+    spread = rows.join(F.broadcast(hot), "node", "left")
+    named_rows = spread.where(F.col("_ff_first").isNotNull()).unionByName(
+        spread.where(F.col("_ff_first").isNull()).drop("_ff_first").join(cold, "node"))
+    return named_rows.select(
         "doc_id", "text_hash", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("_ff_first.doc_id").alias("component_id"),
         (F.col("doc_id").eqNullSafe(F.col("_ff_first.doc_id")) & (F.col("text_hash") == F.col("_ff_first.text_hash"))).alias("kept"))
