@@ -129,7 +129,11 @@ class QualityModel:
 
 def fit_quality(docs: DataFrame, fit_rows: int = 6000) -> QualityModel:
     """Fit the label model on the votes over all rows, and the scorer on at most ``fit_rows`` rows
-    (a fixed hash sample of the ids); no label of the ``labels`` table is used."""
+    (a fixed hash sample of the ids); no label of the ``labels`` table is used.
+
+    Without a row whose id is not null (an empty table as well) there is no
+    sample: weights are zero and every text passes with the bias of 2.
+    """
     rows = docs.select(text_or_empty("text").alias("_ff_text"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

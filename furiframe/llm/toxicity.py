@@ -109,7 +109,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 12000, max_
     Tokens over-represented in toxic rows (log odds with a z-score, counted in
     Spark) become lexicon voters, next to the seed insults and the patterns;
     the label model turns their votes into posterior labels, and a logistic
-    regression on all selected tokens learns from those.
+    regression on all selected tokens learns from those. Without any labelled
+    row, or without a toxic one, the seed insults alone score, each enough by
+    itself; with toxic rows only, all tokens frequent in them may become voters.
     """
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
              .groupBy("doc_id").agg(F.max("toxic").alias("_ff_toxic")))

@@ -134,3 +134,35 @@ def test_repeated_ids_do_not_grow_the_samples(spark, monkeypatch):
     langid.fit_language_id(docs, fit_rows=70, windows_a_row=2)
     quality_model.fit_quality(docs, fit_rows=70)
     assert max(most) < 5000
+
+
+def test_scores_recomputed_row_by_row(spark):
+    texts = ["You idiot!!! stupidity", "plain words here", "", "idiot " * 300, "Bonjour le monde " * 40, "x" * 700 + " é"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    weights = {"idiot": 2.0, "p4:stup": 1.0, "~shout": 0.5, "plain": -1.5}
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, toxicity.ToxicityModel(weights, -0.7)).collect()}
+    hits = [("idiot", "p4:stup", "~shout"), ("plain",), (), ("idiot",), (), ()]
+    for i, names in enumerate(hits):
+        assert got[i] == pytest.approx(1 / (1 + np.exp(0.7 - sum(weights[n] for n in names))))
+
+    rng = np.random.default_rng(3)
+    model = quality_model.QualityModel(rng.normal(size=quality_model.BUCKETS).astype(np.float32), 0.3, np.zeros((0, 3, 2)))
+    got = {r.doc_id: r.score for r in quality_model.score_quality(docs, model).collect()}
+    for i, t in enumerate(texts):
+        _, at, value = quality_model.describe(t)
+        z = 0.3 + sum(float(model.weights[a]) * float(v) for a, v in zip(at, value))
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+
+    w = langid.WINDOW
+    cnn = langid.train_cnn(rng.integers(32, 122, (8, w), dtype=np.uint8), np.array([0, 1] * 4), ["a", "b"], steps=3)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict_language(docs, cnn).collect()}
+    for i, t in enumerate(texts):
+        raw = t.encode()
+        total = np.zeros(2)
+        for at in range(0, len(raw), w):
+            part = raw[at: at + w]
+            total += len(part) * langid._Scorer(cnn)(np.frombuffer(part.ljust(w, b"\0"), np.uint8)[None])[0]
+        if raw:
+            assert got[i][0] == "ab"[total.argmax()] and got[i][1] == pytest.approx(total.max() / total.sum(), abs=1e-4)
+        else:
+            assert got[i] == ("und", 0.0)
