@@ -2,18 +2,14 @@
 
 Input is Spark's ``image`` struct flattened to columns
 ``origin, height, width, nChannels, data`` (BGR(A) bytes, as the ``image``
-source gives them). Pixel work runs in ``mapInPandas`` (numpy per image,
-Arrow batches); keep ``spark.sql.execution.arrow.maxRecordsPerBatch`` small
-for page-sized images. Everything else (margins, counts, payload strings) is
-Column expressions.
+source gives them). Pixel work runs in row UDFs (numpy per image), whose
+batches are few rows whatever the session's Arrow setting. Everything else
+(margins, counts, payload strings) is Column expressions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +22,9 @@ MAX_TOKENS = 8192   # recognition request settings
 TEMPERATURE = 0.1
 # -----------------------------------------------------------------------------
 
-BOX_SCHEMA = ("origin string, width int, height int, left int, upper int, right int, lower int, "
-              "status string, error string")
-CROP_SCHEMA = BOX_SCHEMA + ", png binary, rgb binary"
-RGB_SCHEMA = "origin string, height int, width int, rgb binary, error string"
+BOX_FIELDS = "width int, height int, left int, upper int, right int, lower int, status string, error string"
+CROP_FIELDS = BOX_FIELDS + ", png binary, rgb binary"
+RGB_FIELDS = "height int, width int, rgb binary, error string"
 
 
 def _pixels(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
@@ -68,35 +63,27 @@ def _rgba_order(bgr: np.ndarray) -> np.ndarray:
     return bgr
 
 
-def _crop_rows(pdf: pd.DataFrame, cut: int, margin: int, encode: bool) -> pd.DataFrame:
-    out = []
-    for origin, h, w, c, data in zip(pdf["origin"], pdf["height"], pdf["width"], pdf["nChannels"], pdf["data"]):
-        rec = {"origin": origin, "width": None, "height": None, "left": None, "upper": None,
-               "right": None, "lower": None, "status": None, "error": None}
-        if encode:
-            rec["png"] = rec["rgb"] = None
-        try:
-            if pd.isna(h) or h < 0 or data is None:
-                raise ValueError("undecodable image")
-            if w - cut < 0:
-                raise ValueError(f"image narrower than the {cut} px cut")
-            img = _pixels(int(h), int(w), int(c), data)[:, : int(w) - cut]
-            rec["width"], rec["height"] = int(img.shape[1]), int(img.shape[0])
-            box = content_box(img) if img.shape[1] > 0 else None
-            if box is None:
-                rec["status"] = "blank"
-            else:
-                l0, u0, r0, d0 = box
-                l, u = max(0, l0 - margin), max(0, u0 - margin)
-                r, d = min(img.shape[1], r0 + margin), min(img.shape[0], d0 + margin)
-                rec.update(left=l, upper=u, right=r, lower=d, status="cropped")
-                if encode:
-                    rec["png"] = encode_png(_rgba_order(img[u:d, l:r]))
-                    rec["rgb"] = to_rgb(img[u:d, l:r]).tobytes()
-        except Exception as e:  # noqa: BLE001 - a bad image is a row, never a failed job
-            rec["status"], rec["error"] = "error", str(e)
-        out.append(rec)
-    return pd.DataFrame(out, columns=list(out[0].keys()) if out else None)
+def _crop_row(h: int | None, w: int | None, c: int | None, data: bytes | None, cut: int, margin: int, encode: bool) -> tuple:
+    width = height = png = rgb = error = None
+    box: tuple = (None, None, None, None)
+    try:
+        if h is None or h < 0 or data is None:
+            raise ValueError("undecodable image")
+        if w - cut < 0:
+            raise ValueError(f"image narrower than the {cut} px cut")
+        img = _pixels(h, w, c, data)[:, : w - cut]
+        height, width = img.shape[:2]
+        found = content_box(img) if width > 0 else None
+        status = "blank" if found is None else "cropped"
+        if found is not None:
+            l0, u0, r0, d0 = found
+            l, u, r, d = box = max(0, l0 - margin), max(0, u0 - margin), min(width, r0 + margin), min(height, d0 + margin)
+            if encode:
+                png = encode_png(_rgba_order(img[u:d, l:r]))
+                rgb = to_rgb(img[u:d, l:r]).tobytes()
+    except Exception as e:  # noqa: BLE001 - a bad image is a row, never a failed job
+        status, error = "error", str(e)
+    return (width, height, *box, status, error, *((png, rgb) if encode else ()))
 
 
 def _flat(images: DataFrame, image_col: str) -> DataFrame:
@@ -106,56 +93,41 @@ def _flat(images: DataFrame, image_col: str) -> DataFrame:
     return images.select("origin", "height", "width", "nChannels", "data")
 
 
+def _per_image(flat: DataFrame, run, fields: str) -> DataFrame:
+    """``origin`` and the ``fields`` that ``run(height, width, nChannels, data)`` returns. A row UDF, not an Arrow one:
+    its batches are 100 rows whatever the session's Arrow setting, so a worker holds few images at a time."""
+    seen = F.udf(run, fields, useArrow=False)
+    return flat.select("origin", seen("height", "width", "nChannels", "data").alias("_seen")).select("origin", "_seen.*")
+
+
 def content_boxes(images: DataFrame, image_col: str = "image", cut: int = SCROLLBAR_PX,
                   margin: int = MARGIN_PX) -> DataFrame:
     """Crop box per image after the right-edge cut, with the margin added and
     clamped: ``origin, width, height, left, upper, right, lower, status, error``.
     ``status`` is 'cropped', 'blank' (all white) or 'error'."""
-    flat = _flat(images, image_col)
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            if len(pdf):
-                yield _crop_rows(pdf, cut, margin, encode=False)
-
-    return flat.mapInPandas(run, BOX_SCHEMA)
+    return _per_image(_flat(images, image_col), lambda h, w, c, data: _crop_row(h, w, c, data, cut, margin, False), BOX_FIELDS)
 
 
 def crop_images(images: DataFrame, image_col: str = "image", cut: int = SCROLLBAR_PX,
                 margin: int = MARGIN_PX) -> DataFrame:
     """``content_boxes`` plus the cropped pixels, re-encoded as PNG (``png``) and as RGB bytes (``rgb``)."""
-    flat = _flat(images, image_col)
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            if len(pdf):
-                yield _crop_rows(pdf, cut, margin, encode=True)
-
-    return flat.mapInPandas(run, CROP_SCHEMA)
+    return _per_image(_flat(images, image_col), lambda h, w, c, data: _crop_row(h, w, c, data, cut, margin, True), CROP_FIELDS)
 
 
 def rgb_images(images: DataFrame, image_col: str = "image") -> DataFrame:
     """Force 3-channel RGB: ``origin, height, width, rgb, error`` (row-major bytes; a bad image is a row
     with an error)."""
-    flat = _flat(images, image_col)
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            rows = []
-            for origin, h, w, c, data in zip(pdf["origin"], pdf["height"], pdf["width"], pdf["nChannels"], pdf["data"]):
-                rgb = error = None
-                try:
-                    if pd.isna(h) or h < 0 or data is None:
-                        raise ValueError("undecodable image")
-                    rgb = to_rgb(_pixels(int(h), int(w), int(c), data)).tobytes()
-                except Exception as e:  # noqa: BLE001 - a bad image is a row, never a failed job
-                    error = str(e)
-                rows.append((origin, None if pd.isna(h) else int(h), None if pd.isna(w) else int(w), rgb, error))
-            if rows:
-                yield pd.DataFrame(rows, columns=["origin", "height", "width", "rgb", "error"]).astype(
-                    {"height": "Int32", "width": "Int32"})
-
-    return flat.mapInPandas(run, RGB_SCHEMA)
+    def run(h, w, c, data) -> tuple:
+        rgb = error = None
+        try:
+            if h is None or h < 0 or data is None:
+                raise ValueError("undecodable image")
+            rgb = to_rgb(_pixels(h, w, c, data)).tobytes()
+        except Exception as e:  # noqa: BLE001 - a bad image is a row, never a failed job
+            error = str(e)
+        return h, w, rgb, error
+
+    return _per_image(_flat(images, image_col), run, RGB_FIELDS)
 
 
 def crop_summary(boxes: DataFrame) -> DataFrame:
@@ -170,15 +142,11 @@ def invalid_images(images: DataFrame, image_col: str = "image") -> DataFrame:
     return images.where(F.col(f"{image_col}.height") < 0)
 
 
-def _png_check_batch(content: pd.Series) -> pd.Series:
-    return content.map(lambda b: png_problem(bytes(b)) if b is not None else "zero-size file")
-
-
 def png_check(content) -> Column:
     """Structural PNG verification (CRCs, chunk order) -> problem text or null.
-    Stricter than the decoder, which tolerates bad CRCs (Arrow-batched UDF)."""
+    Stricter than the decoder, which tolerates bad CRCs. A row UDF: few files at a time in a worker."""
     c = F.col(content) if isinstance(content, str) else content
-    return F.pandas_udf(_png_check_batch, "string")(c)
+    return F.udf(lambda b: png_problem(bytes(b)) if b is not None else "zero-size file", "string", useArrow=False)(c)
 
 
 def base64_text(content) -> Column:
