@@ -85,11 +85,11 @@ def file_status(images: DataFrame, texts: DataFrame, key: str = "stem") -> DataF
 def rejects(images: DataFrame, texts: DataFrame, key: str = "stem") -> DataFrame:
     """Everything removed, with a reason: ``(stem, kind, reason)``."""
     st = file_status(images, texts, key)
-    img = st.where(F.col("image_status").isin("orphan", "corrupt")).select(
-        key, F.lit("image").alias("kind"), F.col("image_status").alias("reason"))
-    txt = st.where(F.col("text_status").isin("empty", "corrupt_image")).select(
-        key, F.lit("text").alias("kind"), F.col("text_status").alias("reason"))
-    return img.unionByName(txt)
+    # One pass over the joined files: a union would build both inputs and join them twice.
+    out = F.array(
+        F.when(F.col("image_status").isin("orphan", "corrupt"), F.struct(F.lit("image").alias("kind"), F.col("image_status").alias("reason"))),
+        F.when(F.col("text_status").isin("empty", "corrupt_image"), F.struct(F.lit("text").alias("kind"), F.col("text_status").alias("reason"))))
+    return st.select(key, F.explode(F.array_compact(out)).alias("_out")).select(key, "_out.*")
 
 
 def clean_summary(images: DataFrame, texts: DataFrame, key: str = "stem") -> DataFrame:

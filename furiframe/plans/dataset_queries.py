@@ -21,21 +21,21 @@ DELIM = "."
 
 
 def images(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # Sizes before the joins, here and below: a join that shuffles then moves numbers, not texts.
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").cast("long").alias("size"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     return docs.join(labels, "doc_id", "left").select(
         F.col("doc_id").alias("stem"),
         F.concat(F.lit("cropped/"), F.col("doc_id").cast("string"), F.lit(".png")).alias("path"),
-        F.octet_length("text").cast("long").alias("size"),
+        "size",
         (~F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("valid"))
 
 
 def transcripts(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labelled = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
     t = budget_text("text", DELIM)
-    return labelled.select(F.col("doc_id").alias("stem"), t.alias("text"),
-                           F.octet_length(t).cast("long").alias("size"))
+    texts = table(spark, sf_dir, "documents").select("doc_id", t.alias("text"), F.octet_length(t).cast("long").alias("size"))
+    labelled = texts.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    return labelled.withColumnRenamed("doc_id", "stem")
 
 
 def q_clean_empty(spark, sf_dir):
