@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -113,9 +115,24 @@ def distances(a: list[str | None], b: list[str | None], words: int = 8, pairs: i
     return out
 
 
+AHEAD_CHARS = 8_000_000  # of the pairs read ahead
+
+
 @F.pandas_udf(T.IntegerType())
-def _distances(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series(distances(a.tolist(), b.tolist()), dtype="Int32")
+def _distances(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Several Arrow batches together: pairs of like length then fill the blocks of :func:`distances`."""
+    a: list[str | None] = []
+    b: list[str | None] = []
+    chars = 0
+    for x, y in batches:
+        a.extend(x.tolist())
+        b.extend(y.tolist())
+        chars += sum(len(t) for t in a[-len(x):] if t is not None) if len(x) else 0
+        if chars >= AHEAD_CHARS:
+            yield pd.Series(distances(a, b), dtype="Int32")
+            a, b, chars = [], [], 0
+    if a:
+        yield pd.Series(distances(a, b), dtype="Int32")
 
 
 def edit_distance(a, b) -> Column:

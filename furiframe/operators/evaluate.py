@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from furiframe.functions.metrics import cer_from_parts, edit_distance, pad_left, pad_right, percent
 from furiframe.functions.text import score_normalize
+from furiframe.session import cut_lineage
 
 
 # --- Fixed values (report labels) ---------------------------------------------
@@ -71,8 +72,11 @@ def eval_report(scores: DataFrame, name_col: str = "name") -> DataFrame:
 
     Section 0 is the header, 1 a fixed-width line per file by name
     (``name<30 | pct>20``), 2 and 3 the average CER and the accuracy (no
-    summary without files). Sorted by range, not in one task.
+    summary without files). Sorted by range, not in one task. Names and rates
+    are frozen: the mean, the sort's sampling and the sort read them, not the distances again.
     """
+    scores = cut_lineage(scores.select(F.col(name_col), "cer"))
+
     def line(left, right) -> F.Column:
         return F.concat(pad_right(left, 30), F.lit(" | "), pad_left(right, 20)).alias("line")
 

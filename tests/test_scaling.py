@@ -1,4 +1,8 @@
+import pandas as pd
+
+from furiframe.functions import metrics as M
 from furiframe.operators import clean
+from furiframe.operators import evaluate as E
 
 
 def test_rejects_join_the_files_once(spark):
@@ -19,3 +23,18 @@ def test_reject_joins_move_sizes_not_texts(spark):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         join = next(i for i, line in enumerate(plan.splitlines()) if "Join Left" in line)
         assert "octet_length" not in "\n".join(plan.splitlines()[:join]) and "octet_length" in plan
+
+
+def test_report_computes_its_distances_once(spark):
+    scores = E.score_pairs(*[spark.createDataFrame([("a", "kitten"), ("b", t)], "name string, text string") for t in ("sitting", "x")])
+    out = E.eval_report(scores)
+    assert "ArrowEvalPython" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [r[0] for r in out.collect()] == [0, 1, 1, 2, 3]
+
+
+def test_distances_read_ahead(monkeypatch):
+    sizes = []
+    monkeypatch.setattr(M, "AHEAD_CHARS", 10)
+    monkeypatch.setattr(M, "distances", lambda a, b: sizes.append(len(a)) or [0] * len(a))
+    batches = [(pd.Series(["abcd"] * n), pd.Series(["x"] * n)) for n in (1, 1, 1, 2)]
+    assert sum(len(x) for x in M._distances.func(iter(batches))) == 5 and sizes == [3, 2]
