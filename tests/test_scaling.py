@@ -1,6 +1,8 @@
 import pandas as pd
+from pyspark.sql import functions as F
 
 from furiframe.functions import metrics as M
+from furiframe.operators import annotate as A
 from furiframe.operators import clean
 from furiframe.operators import evaluate as E
 
@@ -38,3 +40,13 @@ def test_distances_read_ahead(monkeypatch):
     monkeypatch.setattr(M, "distances", lambda a, b: sizes.append(len(a)) or [0] * len(a))
     batches = [(pd.Series(["abcd"] * n), pd.Series(["x"] * n)) for n in (1, 1, 1, 2)]
     assert sum(len(x) for x in M._distances.func(iter(batches))) == 5 and sizes == [3, 2]
+
+
+def test_whitespace_markup_shuffles_texts_not_tokens(spark):
+    docs = spark.createDataFrame([(1, "ab cd. ef"), (2, None), (1, "cd. x")], "id long, text string")
+    lexicon = spark.createDataFrame([("cd", "CD")], "surface string, reading string")
+    out = A.furiganize_whitespace(docs, F.broadcast(lexicon), "id", "text", ".")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning(id") == 1
+    assert plan.index("posexplode") < plan.index("Exchange hashpartitioning(id")
