@@ -50,3 +50,15 @@ def test_whitespace_markup_shuffles_texts_not_tokens(spark):
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("Exchange hashpartitioning(id") == 1
     assert plan.index("posexplode") < plan.index("Exchange hashpartitioning(id")
+
+
+def test_common_lengths_by_halves(spark):
+    rows = [("", ""), ("", "a"), ("a", "a"), ("a", "b"), ("ab", "ac"), ("ab", "ab"), ("abc", "abcd"), ("xbc", "bc"), (None, "a"), ("a" * 300, "a" * 257 + "b"),
+            ("日本😀語", "日本😀話"), ("b" + "a" * 70, "c" + "a" * 70), ("abab", "ab")]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "id int, a string, b string")
+    got = {r[0]: (r[1], r[2]) for r in df.select("id", A.common_prefix_len("a", "b"), A.common_suffix_len("a", "b")).collect()}
+
+    def shared(a, b):
+        return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+    assert got == {i: (None, None) if a is None else (shared(a, b), shared(a[::-1], b[::-1])) for i, (a, b) in enumerate(rows)}
