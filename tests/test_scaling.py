@@ -27,19 +27,40 @@ def test_reject_joins_move_sizes_not_texts(spark):
         assert "octet_length" not in "\n".join(plan.splitlines()[:join]) and "octet_length" in plan
 
 
-def test_report_computes_its_distances_once(spark):
-    scores = E.score_pairs(*[spark.createDataFrame([("a", "kitten"), ("b", t)], "name string, text string") for t in ("sitting", "x")])
-    out = E.eval_report(scores)
-    assert "ArrowEvalPython" not in out._jdf.queryExecution().optimizedPlan().toString()
-    assert [r[0] for r in out.collect()] == [0, 1, 1, 2, 3]
+LEXICON = [("行く", "イク"), ("行", "ギョウ"), ("京都", "キョウト"), ("都", "ト"), ("都", "ミヤコ"), ("引き出し", "ヒキダシ"), ("九", "キュウ"), ("無", None),
+           ("日本", "ニホン"), ("お茶", "オチャオチャ"), ("食べる", "タ"), ("1日", "ツイタチ")]
+READINGS = [("日", ["にち", "に"]), ("本", ["ほん"]), ("京", ["きょう"]), ("引", []), ("茶", [None, "ちゃ"])]
 
 
-def test_distances_read_ahead(monkeypatch):
-    sizes = []
-    monkeypatch.setattr(M, "AHEAD_CHARS", 10)
-    monkeypatch.setattr(M, "distances", lambda a, b: sizes.append(len(a)) or [0] * len(a))
-    batches = [(pd.Series(["abcd"] * n), pd.Series(["x"] * n)) for n in (1, 1, 1, 2)]
-    assert sum(len(x) for x in M._distances.func(iter(batches))) == 5 and sizes == [3, 2]
+def _tables(spark):
+    return (spark.createDataFrame(LEXICON, "surface string, reading string"),
+            spark.createDataFrame(READINGS, "ch string, readings array<string>"))
+
+
+def _both(monkeypatch, run):
+    """The rows with the lookup tables in the tasks and with the joins for tables of any size."""
+    small = sorted(map(tuple, run().collect()), key=repr)
+    monkeypatch.setattr(A, "TASK_ROWS", 0)
+    return small, sorted(map(tuple, run().collect()), key=repr)
+
+
+def test_longest_match_in_the_row_equals_the_join(spark, monkeypatch):
+    lexicon, _ = _tables(spark)
+    rows = [(1, "京都へ行く"), (1, "京都へ行く"), (2, ""), (3, None), (None, "日本都京"), (4, "引き出し九😀行"), (5, "日")]
+    texts = spark.createDataFrame(rows, "id long, text string")
+    assert "Exchange" not in A.lexicon_tokenize(texts, ["id"], lexicon)._jdf.queryExecution().executedPlan().toString()
+    small, joined = _both(monkeypatch, lambda: A.lexicon_tokenize(texts, ["id"], lexicon))
+    assert small == joined and (4, 2, "😀", None) in small
+
+
+def test_furiganize_in_the_row_equals_the_join(spark, monkeypatch):
+    lexicon, readings = _tables(spark)
+    rows = [(1, "京都へ行く。日本。"), (1, None), (1, "お茶を食べる。九日。"), (2, "。"), (2, ""), (None, "引き出し。"), (None, None), (3, "1日\n行。都")]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    plan = A.furiganize(docs, lexicon, readings)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" not in plan and plan.count("LogicalRDD") == 1  # one pass, and no text leaves its document's task
+    small, joined = _both(monkeypatch, lambda: A.furiganize(docs, lexicon, readings))
+    assert small == joined and small.count((2, "", 0)) == 2
 
 
 def test_whitespace_markup_shuffles_texts_not_tokens(spark):
@@ -62,3 +83,18 @@ def test_common_lengths_by_halves(spark):
         return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
     assert got == {i: (None, None) if a is None else (shared(a, b), shared(a[::-1], b[::-1])) for i, (a, b) in enumerate(rows)}
+
+
+def test_report_computes_its_distances_once(spark):
+    scores = E.score_pairs(*[spark.createDataFrame([("a", "kitten"), ("b", t)], "name string, text string") for t in ("sitting", "x")])
+    out = E.eval_report(scores)
+    assert "ArrowEvalPython" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [r[0] for r in out.collect()] == [0, 1, 1, 2, 3]
+
+
+def test_distances_read_ahead(monkeypatch):
+    sizes = []
+    monkeypatch.setattr(M, "AHEAD_CHARS", 10)
+    monkeypatch.setattr(M, "distances", lambda a, b: sizes.append(len(a)) or [0] * len(a))
+    batches = [(pd.Series(["abcd"] * n), pd.Series(["x"] * n)) for n in (1, 1, 1, 2)]
+    assert sum(len(x) for x in M._distances.func(iter(batches))) == 5 and sizes == [3, 2]
