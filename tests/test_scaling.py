@@ -63,6 +63,22 @@ def test_furiganize_in_the_row_equals_the_join(spark, monkeypatch):
     assert small == joined and small.count((2, "", 0)) == 2
 
 
+def test_rules_in_the_row_equal_the_join(spark, monkeypatch):
+    _, readings = _tables(spark)
+    pairs = [*LEXICON, ("日本茶", "にほんちゃ"), ("日本茶", "ニチホンチャ"), ("本日京", "ほんに"), ("お日本茶漬け", "オニホンチャヅケ"), ("abc", "abcd"), ("日日日日", "にちにちに"),
+             ("", "x"), (None, "x"), ("x", None), ("十", "じゅう"), ("食べ", "たべべ"), ("日本", "にほ"), ("ab", "ab"), ("1本", "いっぽん"), ("本本本", "ほんほんx")]
+    tokens = spark.createDataFrame([(i, k, r) for i, (k, r) in enumerate(pairs * 3)], "id long, surface string, reading string")
+    for given in (readings, None):
+        for more in ({}, {"legacy_suffix": True}, {"drop_prob": 0.5, "seed": 7}):
+            with monkeypatch.context() as patch:
+                small, joined = _both(patch, lambda: A.annotate_tokens(tokens, ["id"], given, **more))  # noqa: B023
+            ruled = sorted(map(tuple, A._annotate_rows(A.annotate_tokens(tokens, ["id"]).select("id", "surface", "reading"), ["id"]).collect()), key=repr)
+            assert small == joined and len(ruled) == len(small)
+            if given is None and not more:
+                assert small == ruled
+    assert "Exchange" not in A.annotate_tokens(tokens, ["id"], readings)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_whitespace_markup_shuffles_texts_not_tokens(spark):
     docs = spark.createDataFrame([(1, "ab cd. ef"), (2, None), (1, "cd. x")], "id long, text string")
     lexicon = spark.createDataFrame([("cd", "CD")], "surface string, reading string")
